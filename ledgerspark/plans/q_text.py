@@ -40,10 +40,8 @@ def l1_training_text(spark, sf):
 
 
 _VOCAB_SQL = f"""
-toks AS (
-  SELECT pair_id, unnest(list_filter(regexp_split_to_array(text, '{_WS}+'), lambda t: t <> '')) AS token,
-         unnest(generate_subscripts(list_filter(regexp_split_to_array(text, '{_WS}+'), lambda t: t <> ''), 1)) AS pos
-  FROM texts),
+arrs AS (SELECT pair_id, list_filter(regexp_split_to_array(text, '{_WS}+'), lambda t: t <> '') AS arr FROM texts),
+toks AS (SELECT pair_id, unnest(arr) AS token, unnest(range(1, len(arr) + 1)) AS pos FROM arrs),
 counts AS (SELECT token, count(*) AS n FROM toks GROUP BY token),
 vocab AS (SELECT token, n, row_number() OVER (ORDER BY n DESC, token) - 1 AS token_id FROM counts)
 """
