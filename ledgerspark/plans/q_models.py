@@ -1 +1,147 @@
-"""Registered queries."""
+"""Forecast-model queries: M1-M7, T11, T12 and the composed forecasts D11-D13."""
+
+from __future__ import annotations
+
+import itertools
+
+from pyspark.sql import functions as F
+
+from ledgerspark.config import SeriesConfig
+from ledgerspark.functions.dates import month_start
+from ledgerspark.models import holt_winters, runner
+from ledgerspark.operators import series, validate
+from ledgerspark.plans.catalog import register
+from ledgerspark.plans.q_series import _BRAND_SUMS, CFG_BRAND, brand_input, wide_sales_sheet
+from ledgerspark.session import table
+
+
+def _forecast(spark, sf, model):
+    prep = series.prepare(brand_input(spark, sf), CFG_BRAND)
+    out = runner.run_models(prep, CFG_BRAND, [model])
+    return out.filter(F.col("error").isNull()).select(
+        "p_brand", "l_shipdate", F.round("l_quantity", 4).alias("l_quantity"), "Model")
+
+
+@register("m1_prophet_forecast_brand", ("M1", "T12"))
+def m1_prophet(spark, sf):
+    return _forecast(spark, sf, "Prophet")
+
+
+_GRID_SQL = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)"
+                      for a, b, c in itertools.product(holt_winters.GRID_VALUES, repeat=3))
+
+
+@register("m2_holt_winters_forecast_brand", ("M2", "T6"), oracle=f"""
+WITH RECURSIVE {_BRAND_SUMS},
+tr AS (SELECT p_brand, d, v, row_number() OVER (PARTITION BY p_brand ORDER BY d) AS i FROM f WHERE n >= 24 AND rn > 12),
+cnt AS (SELECT p_brand, count(*) AS nt, max(d) AS last_date FROM tr GROUP BY 1 HAVING count(*) >= 24),
+first AS (SELECT p_brand, list(v ORDER BY i) AS f12 FROM tr WHERE i <= 12 GROUP BY 1),
+init AS (SELECT p_brand, f12, list_reduce(f12, lambda acc, x: acc + x) / 12 AS l0 FROM first),
+grid AS (SELECT * FROM (VALUES {_GRID_SQL}) g(a, b, c)),
+r AS (
+  SELECT i0.p_brand, g.a, g.b, g.c, 12 AS i, i0.l0 AS l, 0.0::DOUBLE AS t,
+         list_transform(i0.f12, lambda x: x - i0.l0) AS s, 0.0::DOUBLE AS sse
+  FROM init i0 JOIN cnt ON cnt.p_brand = i0.p_brand, grid g
+  UNION ALL
+  SELECT r.p_brand, r.a, r.b, r.c, r.i + 1,
+         r.a * (tr.v - r.s[1]) + (1 - r.a) * (r.l + r.t),
+         r.b * ((r.a * (tr.v - r.s[1]) + (1 - r.a) * (r.l + r.t)) - r.l) + (1 - r.b) * r.t,
+         list_append(r.s[2:12], r.c * (tr.v - (r.a * (tr.v - r.s[1]) + (1 - r.a) * (r.l + r.t))) + (1 - r.c) * r.s[1]),
+         r.sse + (tr.v - (r.l + r.t + r.s[1])) * (tr.v - (r.l + r.t + r.s[1]))
+  FROM r JOIN tr ON tr.p_brand = r.p_brand AND tr.i = r.i + 1),
+fin AS (SELECT r.*, cnt.last_date FROM r JOIN cnt ON cnt.p_brand = r.p_brand AND r.i = cnt.nt),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY sse, a, b, c) AS k0 FROM fin) q
+         WHERE k0 = 1)
+SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS l_shipdate,
+       round(l + k * t + s[((k - 1) % 12) + 1], 4) AS l_quantity, 'Holt-Winters' AS Model
+FROM best, range(1, 13) h(k)
+""")
+def m2_holt_winters(spark, sf):
+    return _forecast(spark, sf, "Holt-Winters")
+
+
+@register("m3_sarima_forecast_brand", ("M3", "T12"))
+def m3_sarima(spark, sf):
+    return _forecast(spark, sf, "SARIMA")
+
+
+@register("m4_arima_forecast_brand", ("M4", "T7", "T12"))
+def m4_arima(spark, sf):
+    return _forecast(spark, sf, "ARIMA")
+
+
+@register("m5_mlp_forecast_brand", ("M5", "T4", "T7", "T12"))
+def m5_mlp(spark, sf):
+    return _forecast(spark, sf, "MLPRegressor")
+
+
+@register("m6_lstm_forecast_brand", ("M6", "T4", "T5", "T7", "T12"))
+def m6_lstm(spark, sf):
+    return _forecast(spark, sf, "LSTM")
+
+
+@register("m7_backtest_forecast_error_brand", ("M7", "T11", "T8", "T9", "T10", "R5"))
+def m7_backtest(spark, sf):
+    res = runner.backtest(brand_input(spark, sf), CFG_BRAND)
+    return res["forecast_error"].select("Model", "p_brand", *[F.round(c, 4).alias(c) for c in ("RMSE", "MAE", "MAPE (%)")])
+
+
+CFG_USER_HOLDOUT = SeriesConfig("user_id", "ts", "value", "D", min_history=24, test_size=12)
+
+
+@register("t12_model_errors_user_daily", ("T12",), oracle="""
+WITH s AS (SELECT user_id, date_trunc('day', ts) AS d FROM events GROUP BY 1, 2),
+b AS (SELECT user_id, len(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS n FROM s GROUP BY 1)
+SELECT user_id, 'Holt-Winters' AS Model,
+       'train has ' || CAST(n - 12 AS VARCHAR) || ' periods; Holt-Winters needs 24' AS error
+FROM b WHERE n >= 24 AND n - 12 < 24
+""")
+def t12_model_errors_user_daily(spark, sf):
+    """Daily user series (30 days) with a 12-day hold-out are too short for
+    Holt-Winters: each gets one error row; the stage does not fail."""
+    ev = table(spark, sf, "events").select("user_id", "ts", "value")
+    res = runner.backtest(ev, CFG_USER_HOLDOUT, ["Holt-Winters"])
+    return res["errors"]
+
+
+# ---- composed forecasts ------------------------------------------------------------------------
+
+CFG_SHEET = SeriesConfig("Material", "Date", "Sales", "MS", min_history=24, test_size=12)
+CFG_DAILY = SeriesConfig("Product", "Date", "Amount ($)", "D", min_history=24, test_size=12)
+CFG_RETAIL = SeriesConfig("ITEM CODE", "Date", "RETAIL SALES", "D", min_history=24, test_size=12)
+
+
+@register("d11_monthly_sales_forecast", ("D11", "S5", "R1", "R4", "M7"))
+def d11_monthly_sales_forecast(spark, sf):
+    """Wide sheet -> long (R1) -> validated (R4) -> six models per Material."""
+    long = validate.reshape_wide(wide_sales_sheet(spark, sf), "Material", 9, "Date", "Sales")
+    long = long.withColumn("Sales", F.col("Sales").cast("string"))  # sheet cells arrive as text
+    clean, _errors, _members = validate.validate_split(long, CFG_SHEET)
+    res = runner.backtest(clean, CFG_SHEET)
+    return res["forecast"].select("Date", F.round("Sales", 4).alias("Sales"), "Material", "Model")
+
+
+@register("d12_daily_forecast", ("D12", "M1"))
+def d12_daily_forecast(spark, sf):
+    """Daily amounts per product (events stand in for the cosmetics sheet), Prophet."""
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("Product"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Date"),
+        F.col("value").cast("string").alias("Amount ($)"))
+    clean, _e, _m = validate.validate_split(ev, CFG_DAILY)
+    res = runner.backtest(clean, CFG_DAILY, ["Prophet"])
+    return res["forecast"].select("Date", F.round("Amount ($)", 4).alias("Amount ($)"), "Product", "Model")
+
+
+@register("d13_retail_forecast", ("D13", "R2", "M1"))
+def d13_retail_forecast(spark, sf):
+    """Monthly retail sales per item from YEAR and MONTH columns, resampled by
+    day as the reference does (days between month starts become 0), Prophet."""
+    li, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    raw = li.join(part, li.l_partkey == part.p_partkey).select(
+        F.year("l_shipdate").alias("YEAR"), F.month("l_shipdate").alias("MONTH"),
+        F.col("p_brand").alias("ITEM CODE"), F.col("l_extendedprice").alias("RETAIL SALES"))
+    raw = raw.withColumn("Date", F.date_format(month_start("YEAR", "MONTH"), "yyyy-MM-dd")) \
+        .withColumn("RETAIL SALES", F.col("RETAIL SALES").cast("string"))
+    clean, _e, _m = validate.validate_split(raw.select("Date", "ITEM CODE", "RETAIL SALES"), CFG_RETAIL)
+    res = runner.backtest(clean, CFG_RETAIL, ["Prophet"])
+    return res["forecast"].select("Date", F.round("RETAIL SALES", 4).alias("RETAIL SALES"), "ITEM CODE", "Model")
