@@ -1,10 +1,9 @@
 """M2: additive Holt-Winters (trend + season 12) fitted natively in Spark.
 
 Each training series becomes one sorted value array (bounded by its number
-of periods). A fixed smoothing grid is generated per series (an ``explode``,
-no join), each grid point runs the recursions as one higher-order
-``aggregate`` over the array inside generated code, and the least-SSE point
-per series is kept with ``min_by``. No Python worker is involved.
+of periods). Every point of a fixed smoothing grid runs the recursions as
+one higher-order ``aggregate`` over that array, all inside one projection
+per series; the least-SSE point is kept. No Python worker is involved.
 """
 
 from __future__ import annotations
@@ -30,38 +29,48 @@ def _grid_column(values=GRID_VALUES):
 
 
 def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> DataFrame:
-    """Best final state per series: dim, last_date, n_train, level, trend, season, sse, a, b, c."""
+    """Best final state per series: dim, last_date, n_train, level, trend, season, sse, alpha, beta, gamma.
+
+    One row per series throughout: the grid is evaluated with ``transform``
+    over the grid array (each point one ``aggregate`` over the values), the
+    winner is the first minimum SSE (grid in ascending (a, b, c) order, so
+    ties go to the smallest triple), and only the winner's run is kept. No
+    explode, no second aggregation, no sort."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     train = prepared.filter(F.col(SPLIT) == "train")
     arr = train.groupBy(dim).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("period_idx", F.col(val).cast("double").alias("v")))),
                     lambda s: s["v"]).alias("y"),
         F.max(date).alias("last_date"))
-    arr = arr.withColumn("n_train", F.size("y"))
-    ok = arr.filter(F.col("n_train") >= MIN_TRAIN)
+    ok = arr.withColumn("n_train", F.size("y")).filter(F.col("n_train") >= MIN_TRAIN)
     first = F.slice("y", 1, SEASON)
     l0 = F.aggregate(first, F.lit(0.0), lambda s, x: s + x) / SEASON
-    g = ok.select(dim, "last_date", "n_train", "y", F.explode(_grid_column(grid)).alias("g"))
     init = F.struct(l0.alias("l"), F.lit(0.0).alias("t"),
                     F.transform(first, lambda x: x - l0).alias("s"), F.lit(0.0).alias("sse"))
-    a, b, c = F.col("g.a"), F.col("g.b"), F.col("g.c")
+    rest = F.slice("y", SEASON + 1, F.size("y") - SEASON)
+    grid_col = _grid_column(grid)
 
-    def step(acc, x):
-        s0 = F.element_at(acc["s"], 1)
-        lvl = a * (x - s0) + (1 - a) * (acc["l"] + acc["t"])
-        err = x - (acc["l"] + acc["t"] + s0)
-        return F.struct(lvl.alias("l"), (b * (lvl - acc["l"]) + (1 - b) * acc["t"]).alias("t"),
-                        F.concat(F.slice(acc["s"], 2, SEASON - 1), F.array(c * (x - lvl) + (1 - c) * s0)).alias("s"),
-                        (acc["sse"] + err * err).alias("sse"))
+    def run(g):
+        a, b, c = g["a"], g["b"], g["c"]
 
-    rest = F.slice("y", SEASON + 1, F.size("y") - SEASON)
-    fitted = g.select(dim, "last_date", "n_train", "g", F.aggregate(rest, init, step).alias("st"))
-    order = F.struct(F.col("st.sse"), a, b, c)
-    best = fitted.groupBy(dim).agg(F.min_by(F.struct("last_date", "n_train", "st", "g"), order).alias("m"))
-    return best.select(dim, "m.last_date", "m.n_train", F.col("m.st.l").alias("level"),
-                       F.col("m.st.t").alias("trend"), F.col("m.st.s").alias("season"),
-                       F.col("m.st.sse").alias("sse"), F.col("m.g.a").alias("alpha"),
-                       F.col("m.g.b").alias("beta"), F.col("m.g.c").alias("gamma"))
+        def step(acc, x):
+            s0 = F.element_at(acc["s"], 1)
+            lvl = a * (x - s0) + (1 - a) * (acc["l"] + acc["t"])
+            err = x - (acc["l"] + acc["t"] + s0)
+            return F.struct(lvl.alias("l"), (b * (lvl - acc["l"]) + (1 - b) * acc["t"]).alias("t"),
+                            F.concat(F.slice(acc["s"], 2, SEASON - 1),
+                                     F.array(c * (x - lvl) + (1 - c) * s0)).alias("s"),
+                            (acc["sse"] + err * err).alias("sse"))
+        return F.aggregate(rest, init, step)
+
+    scored = ok.select(dim, "last_date", "n_train", "y",
+                       F.transform(grid_col, lambda g: run(g)["sse"]).alias("_sse"))
+    best = scored.select(dim, "last_date", "n_train", "y",
+                         F.element_at(grid_col, F.array_position("_sse", F.array_min("_sse")).cast("int")).alias("g"))
+    st = best.select(dim, "last_date", "n_train", "g", run(F.col("g")).alias("st"))
+    return st.select(dim, "last_date", "n_train", F.col("st.l").alias("level"), F.col("st.t").alias("trend"),
+                     F.col("st.s").alias("season"), F.col("st.sse").alias("sse"), F.col("g.a").alias("alpha"),
+                     F.col("g.b").alias("beta"), F.col("g.c").alias("gamma"))
 
 
 def forecast(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> DataFrame:

@@ -99,24 +99,25 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
 def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: str = "ax_key") -> DataFrame:
     """(wms LEFT JOIN ax) UNION (ax LEFT JOIN wms) on the key, DISTINCT.
 
-    Each side is deduplicated first (the union is distinct anyway), then the
-    result is built as matched pairs + unmatched rows of either side. The inner
-    and anti joins share one shuffle of each side (Spark reuses the exchange),
-    and unlike a full outer join all three can be split by AQE when a key is
-    skewed. NULL keys never match and come out as unmatched rows, as in the
-    union form.
+    Each side is deduplicated first (the union is distinct anyway; the dedupe
+    is a partial aggregation over all columns, so a hot key still spreads over
+    many tasks). Then one left outer join yields the matched pairs and the
+    unmatched WMS rows (NULL keys included), and the ERP rows without a match
+    come from an anti join against the distinct WMS keys -- a key-only
+    shuffle. Full-width rows are shuffled once per side, as in a full outer
+    join, but AQE can split a skewed key on the (larger, detailed) WMS side,
+    which it cannot do for a full outer join. No final DISTINCT is needed: the
+    three parts are disjoint and each is already distinct.
     """
     w, a = wms.distinct(), ax.distinct()
-    cond = w[key_wms] == a[key_ax]
-    matched = w.join(a, cond, "inner")
-    only_w = w.join(a, cond, "left_anti")
-    only_a = a.join(w, cond, "left_anti")
-    a_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in a.schema.fields]
+    kw, ka = F.col(f"`{key_wms}`"), F.col(f"`{key_ax}`")
+    left = w.join(a, w[key_wms] == a[key_ax], "left")
+    w_keys = w.select(kw.alias("_k")).filter(F.col("_k").isNotNull()).distinct()
+    only_a = a.join(w_keys, ka == F.col("_k"), "left_anti")
     w_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in w.schema.fields]
     cols = [F.col(f"`{c}`") for c in w.columns] + [F.col(f"`{c}`") for c in a.columns]
-    left = only_w.select(*[F.col(f"`{c}`") for c in w.columns], *a_nulls)
     right = only_a.select(*w_nulls, *[F.col(f"`{c}`") for c in a.columns])
-    return matched.select(*cols).unionByName(left).unionByName(right)
+    return left.select(*cols).unionByName(right)
 
 
 def fulfilment_columns(ax_pallet: Column, wms_pallet: Column, ax_date: Column, wms_date: Column):
