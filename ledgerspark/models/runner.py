@@ -50,9 +50,10 @@ def _rows(key, dates, values, model, error, cfg):
 
 
 def _spread(df: DataFrame, dim: str) -> DataFrame:
-    """Hash-partition by series with an explicit count, so AQE cannot fold all
-    series of a small stage into one Python worker; the grouped map then
-    reuses this partitioning (no second shuffle)."""
+    """Hash-partition by series with an explicit count. AQE does not coalesce
+    a repartition by number, so a compute-heavy stage over little data is
+    not folded into one task; the per-series operators after it reuse this
+    partitioning (no second shuffle)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, dim)
 
@@ -100,7 +101,9 @@ def fit_window_model(prepared: DataFrame, cfg: SeriesConfig, model: str) -> Data
     the recursion from the last window."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     w, h, freq = cfg.window_size, cfg.horizon, cfg.freq
-    train = prepared.filter(F.col(SPLIT) == "train")
+    # one exchange by series (explicit count: AQE keeps it) serves the scaling
+    # window, the lag windows and the grouped map
+    train = _spread(prepared.filter(F.col(SPLIT) == "train"), dim)
     if model == "LSTM":
         train = series.minmax_scale(train, cfg, fit_on=None).withColumn("_v", F.col("scaled"))
     else:
@@ -137,7 +140,7 @@ def fit_window_model(prepared: DataFrame, cfg: SeriesConfig, model: str) -> Data
         except Exception as e:  # noqa: BLE001
             return _rows(key, [last], [None], model, f"{type(e).__name__}: {e}", cfg)
 
-    return _spread(t, dim).groupBy(dim).applyInPandas(per_series, _schema(prepared, cfg))
+    return t.groupBy(dim).applyInPandas(per_series, _schema(prepared, cfg))
 
 
 def run_models(prepared: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES) -> DataFrame:

@@ -91,15 +91,17 @@ def minmax_scale(series: DataFrame, cfg: SeriesConfig, fit_on: str | None = "tra
                  value_col: str | None = None) -> DataFrame:
     """T5: scale to [0, 1] with the min and max of the series' ``fit_on`` rows
     (all rows when None); a constant series scales to 0. Adds ``_min``, ``_max``
-    and ``scaled``."""
+    and ``scaled``. Window aggregates over the series partition: no self-join,
+    and the partitioning is reused by later per-series windows."""
     dim = cfg.dimension_col
     val = value_col or cfg.value_col
-    basis = series if fit_on is None else series.filter(F.col(SPLIT) == fit_on)
-    stats = basis.groupBy(dim).agg(F.min(_q(val)).cast("double").alias("_min"),
-                                   F.max(_q(val)).cast("double").alias("_max"))
+    v = _q(val).cast("double")
+    basis = v if fit_on is None else F.when(F.col(SPLIT) == fit_on, v)
+    per_series = Window.partitionBy(dim)
+    out = series.withColumn("_min", F.min(basis).over(per_series)).withColumn("_max", F.max(basis).over(per_series))
     span = F.col("_max") - F.col("_min")
-    scaled = F.coalesce(F.try_divide(_q(val).cast("double") - F.col("_min"), F.when(span != 0, span)), F.lit(0.0))
-    return series.join(stats, dim, "inner").withColumn("scaled", scaled)
+    scaled = F.coalesce(F.try_divide(v - F.col("_min"), F.when(span != 0, span)), F.lit(0.0))
+    return out.withColumn("scaled", scaled)
 
 
 def minmax_inverse(scaled: Column, lo: Column, hi: Column) -> Column:
