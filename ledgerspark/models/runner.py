@@ -22,6 +22,7 @@ from ledgerspark.config import SeriesConfig
 from ledgerspark.models import fits, holt_winters
 from ledgerspark.operators import metrics, series, validate
 from ledgerspark.operators.series import IDX, N_PERIODS, SPLIT
+from ledgerspark.session import ensure_checkpoint_dir
 
 MODEL_NAMES = ("Prophet", "Holt-Winters", "SARIMA", "ARIMA", "MLPRegressor", "LSTM")
 SERIES_MODELS = ("Prophet", "SARIMA", "ARIMA")
@@ -158,17 +159,28 @@ def run_models(prepared: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES) -> Da
     return reduce(DataFrame.unionByName, outs)
 
 
-def backtest(df_long: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES) -> dict[str, DataFrame]:
+def backtest(df_long: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES,
+             materialize: bool = False) -> dict[str, DataFrame]:
     """M7 + T11: the four result tables and the per-series failures.
 
     ``forecast``: date, value, dimension, Model. ``forecast_error``: Model,
     dimension, RMSE, MAE, ``MAPE (%)`` (cleaned as R5; test mode only).
     ``train`` / ``test``: date, value, dimension, Model for each model that
     produced a forecast for the series. ``errors``: dimension, Model, error.
+
+    ``materialize``: when the tables feed several actions (one load per
+    table), write the prepared series and the model output once to the
+    shared checkpoint folder (reliable ``checkpoint``), so no model is
+    refitted per table and a lost executor re-reads instead of recomputing.
     """
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     prepared = series.prepare(df_long, cfg)
+    if materialize:
+        ensure_checkpoint_dir(prepared.sparkSession)
+        prepared = prepared.checkpoint(eager=True)
     out = run_models(prepared, cfg, models)
+    if materialize:
+        out = out.checkpoint(eager=True)
     forecast = out.filter(F.col("error").isNull()).select(date, val, dim, "Model")
     errors = out.filter(F.col("error").isNotNull()).select(dim, "Model", "error")
     fitted = forecast.select(dim, "Model").distinct()
@@ -183,3 +195,17 @@ def backtest(df_long: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES) -> dict[
         result["test"] = test
         result["forecast_error"] = validate.clean_metrics(scored).select("Model", dim, "RMSE", "MAE", "MAPE (%)")
     return result
+
+
+def forecast_and_load(raw_long: DataFrame, cfg: SeriesConfig, script_name: str, target,
+                      models=MODEL_NAMES) -> dict[str, int]:
+    """D11-D13 tail: validate (R4), load the clean source and the rejected rows,
+    run every model (M7) and load forecast, forecast_error, train and test
+    (one replace per table, K1). Returns table -> rows written."""
+    from ledgerspark.sinks.tables import upload
+    clean, rejected, _members = validate.validate_split(raw_long, cfg)
+    counts = upload({"source": clean, "rejected_data": rejected}, script_name, target)
+    res = backtest(clean, cfg, models, materialize=True)
+    tables = {k: res[k] for k in ("forecast", "forecast_error", "train", "test", "errors") if k in res}
+    counts.update(upload(tables, script_name, target))
+    return counts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,8 @@ from ledgerspark.models import holt_winters, runner
 from ledgerspark.operators import series, validate
 from ledgerspark.plans.catalog import register
 from ledgerspark.plans.q_series import _BRAND_SUMS, CFG_BRAND, brand_input, wide_sales_sheet
-from ledgerspark.session import table
+from ledgerspark.session import scratch_table_path, table
+from ledgerspark.sinks.tables import ParquetTarget
 
 
 def _forecast(spark, sf, model):
@@ -111,14 +113,17 @@ CFG_DAILY = SeriesConfig("Product", "Date", "Amount ($)", "D", min_history=24, t
 CFG_RETAIL = SeriesConfig("ITEM CODE", "Date", "RETAIL SALES", "D", min_history=24, test_size=12)
 
 
-@register("d11_monthly_sales_forecast", ("D11", "S5", "R1", "R4", "M7"))
+@register("d11_monthly_sales_forecast", ("D11", "S5", "R1", "R4", "M7", "K1", "T11"))
 def d11_monthly_sales_forecast(spark, sf):
-    """Wide sheet -> long (R1) -> validated (R4) -> six models per Material."""
+    """Wide sheet -> long (R1) -> validated (R4) -> six models per Material ->
+    source, rejected rows and the four result tables loaded (K1); returns the
+    loaded forecast table."""
     long = validate.reshape_wide(wide_sales_sheet(spark, sf), "Material", 9, "Date", "Sales")
     long = long.withColumn("Sales", F.col("Sales").cast("string"))  # sheet cells arrive as text
-    clean, _errors, _members = validate.validate_split(long, CFG_SHEET)
-    res = runner.backtest(clean, CFG_SHEET)
-    return res["forecast"].select("Date", F.round("Sales", 4).alias("Sales"), "Material", "Model")
+    target = ParquetTarget(scratch_table_path(spark, f"d11/{uuid.uuid4().hex[:12]}"))
+    runner.forecast_and_load(long, CFG_SHEET, "ml_sales", target)
+    out = target.read(spark, "ml_sales_forecast")
+    return out.select("Date", F.round("Sales", 4).alias("Sales"), "Material", "Model")
 
 
 @register("d12_daily_forecast", ("D12", "M1"))
