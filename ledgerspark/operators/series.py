@@ -50,14 +50,26 @@ def resample(df: DataFrame, cfg: SeriesConfig, min_history: int | None = None) -
     """T1 (+T2 when ``min_history``): per series, sum by ``freq`` bin; every
     empty bin between the series' first and last bin is 0.
 
+    Two shuffles: the partial sum per (series, bin), then one per-series
+    aggregation into a bin -> sum map (at most one entry per period, so a
+    series with a third of the raw rows is still small here). The full axis
+    is generated from the map's first and last bin and filled by lookups --
+    no join. Short series are dropped before any row is generated (T2).
+
     Output: dimension, date, value, ``period_idx``, ``n_periods``.
     """
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     sums = period_sums(df, cfg)
-    axis = series_axis(sums, cfg, min_history)
-    return (axis.join(sums, [dim, date], "left")
-            .select(_q(dim), _q(date), F.coalesce(_q(val), F.lit(0).cast(sums.schema[val].dataType)).alias(val),
-                    F.col(IDX), F.col(N_PERIODS)))
+    vtype = sums.schema[val].dataType
+    per = sums.groupBy(dim).agg(F.map_from_entries(F.collect_list(F.struct(_q(date), _q(val)))).alias("_m"),
+                                F.min(_q(date)).alias("_lo"), F.max(_q(date)).alias("_hi"))
+    seq = F.sequence(F.col("_lo"), F.col("_hi"), F.expr(cfg.step))
+    axis = per.select(_q(dim).alias(dim), "_m", seq.alias("_seq")).withColumn(N_PERIODS, F.size("_seq"))
+    if min_history:
+        axis = axis.filter(F.col(N_PERIODS) >= min_history)
+    rows = axis.select(_q(dim).alias(dim), "_m", F.col(N_PERIODS), F.posexplode("_seq").alias(IDX, date))
+    value = F.coalesce(F.try_element_at(F.col("_m"), _q(date)), F.lit(0).cast(vtype))
+    return rows.select(_q(dim), _q(date), value.alias(val), F.col(IDX), F.col(N_PERIODS))
 
 
 def split_holdout(resampled: DataFrame, cfg: SeriesConfig) -> DataFrame:
