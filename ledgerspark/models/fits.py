@@ -203,17 +203,17 @@ def _sig(x):
 
 def _lstm_forward(Xb, Wx, Wh, b, H):
     B, T = Xb.shape
+    xz = Xb[:, :, None] * Wx[0] + b          # input projection of every step at once: (B, T, 4H)
     h = np.zeros((B, H))
     c = np.zeros((B, H))
     cache = []
     for t in range(T):
-        x = Xb[:, t:t + 1]
-        z = x @ Wx + h @ Wh + b
+        z = xz[:, t] + h @ Wh
         i, f, o = _sig(z[:, :H]), _sig(z[:, H:2 * H]), _sig(z[:, 3 * H:])
         g = np.maximum(z[:, 2 * H:3 * H], 0)
         c_new = f * c + i * g
         h_new = o * np.maximum(c_new, 0)
-        cache.append((x, h, c, z, i, f, g, o, c_new))
+        cache.append((h, c, z, i, f, g, o, c_new))
         h, c = h_new, c_new
     return h, cache
 
@@ -243,18 +243,22 @@ def lstm_fit_predict(X: np.ndarray, y: np.ndarray, seed_window: np.ndarray, h: i
             gWd, gbd = hT.T @ d, d.sum(0)
             dh = d @ Wd.T
             dc = np.zeros_like(dh)
-            gWx, gWh, gb = np.zeros_like(Wx), np.zeros_like(Wh), np.zeros_like(b)
-            for (x, h_prev, c_prev, z, i, f, g, o, c_new) in reversed(cache):
-                relu_c = np.maximum(c_new, 0)
-                do = dh * relu_c
+            T = Xb.shape[1]
+            dzs = np.empty((len(idx), T, 4 * H))
+            hs = np.empty((len(idx), T, H))
+            for t in range(T - 1, -1, -1):
+                h_prev, c_prev, z, i, f, g, o, c_new = cache[t]
                 dct = dc + dh * o * (c_new > 0)
                 dz = np.concatenate([dct * g * i * (1 - i), dct * c_prev * f * (1 - f),
-                                     dct * i * (z[:, 2 * H:3 * H] > 0), do * o * (1 - o)], axis=1)
-                gWx += x.T @ dz
-                gWh += h_prev.T @ dz
-                gb += dz.sum(0)
+                                     dct * i * (z[:, 2 * H:3 * H] > 0), dh * np.maximum(c_new, 0) * o * (1 - o)],
+                                    axis=1)
+                dzs[:, t] = dz
+                hs[:, t] = h_prev
                 dh = dz @ Wh.T
                 dc = dct * f
+            gWx = np.einsum("bt,btk->k", Xb, dzs)[None, :]
+            gWh = np.einsum("bth,btk->hk", hs, dzs)
+            gb = dzs.sum(axis=(0, 1))
             _adam_step(params, [gWx, gWh, gb, gWd, gbd], state)
     win = list(seed_window)
     T = X.shape[1]

@@ -38,8 +38,9 @@ def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> Data
     explode, no second aggregation, no sort."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     n_parts = int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # explicit count: the grid search is compute-heavy per row, so keep every task slot busy
-    train = prepared.filter(F.col(SPLIT) == "train").repartition(n_parts, dim)
+    # the grid search is compute-heavy per row: an explicit range repartition keeps
+    # AQE from folding the series into one task (see runner._spread)
+    train = prepared.filter(F.col(SPLIT) == "train").repartitionByRange(n_parts, dim)
     arr = train.groupBy(dim).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("period_idx", F.col(val).cast("double").alias("v")))),
                     lambda s: s["v"]).alias("y"),

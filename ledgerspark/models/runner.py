@@ -51,12 +51,16 @@ def _rows(key, dates, values, model, error, cfg):
 
 
 def _spread(df: DataFrame, dim: str) -> DataFrame:
-    """Hash-partition by series with an explicit count. AQE does not coalesce
-    a repartition by number, so a compute-heavy stage over little data is
-    not folded into one task; the per-series operators after it reuse this
-    partitioning (no second shuffle)."""
+    """Range-partition by series into ``spark.sql.shuffle.partitions`` parts.
+
+    Per-series stages (windows, grouped model fits) are compute-heavy on
+    little data, so AQE would fold them into one task; it never coalesces a
+    repartition by number. Range (not hash) partitioning is used because a
+    hash repartition matching the upstream shuffle is dropped as redundant,
+    and because sorted key ranges spread series evenly over the slots. The
+    operators after it reuse this partitioning (no second shuffle)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, dim)
+    return df.repartitionByRange(n, dim)
 
 
 def _future(last, h, freq):

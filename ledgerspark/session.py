@@ -25,7 +25,9 @@ def get_spark(master: str | None = None, app: str = "ledgerspark",
     builder = (
         SparkSession.builder.master(master or f"local[{cpus}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+        # a few partitions per core: AQE coalesces small shuffles, and compute-heavy
+        # per-series stages (explicit repartition) spread evenly over the slots
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 3 * int(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
