@@ -14,14 +14,20 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _ts(value) -> Column:
-    if isinstance(value, Column):
-        return value
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime, date or ISO text. Built from
+    text, so neither the driver's nor the session's time zone shifts it."""
     if isinstance(value, dt.datetime):
-        return F.lit(value).cast("timestamp_ntz")
-    if isinstance(value, dt.date):
-        return F.lit(dt.datetime(value.year, value.month, value.day)).cast("timestamp_ntz")
-    return F.lit(value).cast("timestamp_ntz")
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _ts(value) -> Column:
+    return value if isinstance(value, Column) else ntz_literal(value)
 
 
 def lookback(c, as_of, days: int, midnight: bool = False) -> Column:

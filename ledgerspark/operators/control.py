@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.config import FULL_LOAD_LOOKBACK_DAYS
+from ledgerspark.functions.dates import ntz_literal
 from ledgerspark.operators.recon import latest_by
 
 LOG_COLUMNS = ("script_name", "start_datetime", "end_datetime", "rundate", "status", "load_type")
@@ -32,8 +33,8 @@ def load_windows(logs: DataFrame, scripts: DataFrame, as_of: dt.datetime,
     full_start, _ = date_range(full_days, as_of)
     return (scripts.select("script_name").distinct().join(last, "script_name", "left")
             .select("script_name",
-                    F.coalesce(F.col("_last"), F.lit(full_start).cast("timestamp_ntz")).alias("date_from"),
-                    F.lit(as_of).cast("timestamp_ntz").alias("date_to"),
+                    F.coalesce(F.col("_last"), ntz_literal(full_start)).alias("date_from"),
+                    ntz_literal(as_of).alias("date_to"),
                     F.when(F.col("_last").isNull(), "full").otherwise("incremental").alias("load_type")))
 
 
@@ -57,7 +58,7 @@ def upsert_run_log(logs: DataFrame, runs: DataFrame) -> DataFrame:
 def history_rows(windows: DataFrame, start_col: str = "date_from", end_col: str = "date_to",
                  run_start=None) -> DataFrame:
     """C4: one history row per run, status 'Completed', rundate = window end."""
-    start = F.col(start_col) if run_start is None else F.lit(run_start).cast("timestamp_ntz")
+    start = F.col(start_col) if run_start is None else ntz_literal(run_start)
     return windows.select(
         "script_name", start.alias("start_datetime"), F.col(end_col).alias("end_datetime"),
         F.to_date(F.col(end_col)).alias("rundate"), F.lit("Completed").alias("status"),
