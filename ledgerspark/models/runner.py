@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.config import SeriesConfig
-from ledgerspark.models import fits, holt_winters
+from ledgerspark.models import arima, fits, holt_winters
 from ledgerspark.operators import metrics, series, validate
 from ledgerspark.operators.series import IDX, N_PERIODS, SPLIT
 from ledgerspark.session import ensure_checkpoint_dir
 
 MODEL_NAMES = ("Prophet", "Holt-Winters", "SARIMA", "ARIMA", "MLPRegressor", "LSTM")
-SERIES_MODELS = ("Prophet", "SARIMA", "ARIMA")
+SERIES_MODELS = ("Prophet", "SARIMA")
 WINDOW_MODELS = ("MLPRegressor", "LSTM")
 BASE_SEED = 42
 
@@ -68,7 +68,7 @@ def _future(last, h, freq):
 
 
 def fit_series_models(prepared: DataFrame, cfg: SeriesConfig, models=SERIES_MODELS) -> DataFrame:
-    """M1, M3, M4: one grouped map over the training periods of each series."""
+    """M1, M3: one grouped map over the training periods of each series."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     h, freq, names = cfg.horizon, cfg.freq, tuple(models)
     train = prepared.filter(F.col(SPLIT) == "train").select(dim, date, F.col(val).cast("double").alias(val), IDX)
@@ -86,10 +86,8 @@ def fit_series_models(prepared: DataFrame, cfg: SeriesConfig, models=SERIES_MODE
                     raise ValueError(f"train has {len(y)} periods; {name} needs {fits.MIN_TRAIN[name]}")
                 if name == "Prophet":
                     pred = fits.prophet_like(y, ds, fut.to_numpy(dtype="datetime64[ns]"))
-                elif name == "SARIMA":
-                    pred = fits.sarima_111_111(y, h)
                 else:
-                    pred = fits.arima_510(y, h)
+                    pred = fits.sarima_111_111(y, h)
                 if not np.all(np.isfinite(pred)):
                     raise ValueError("non-finite forecast")
                 out.append(_rows(key, fut, pred, name, None, cfg))
@@ -154,6 +152,9 @@ def run_models(prepared: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES) -> Da
     if "Holt-Winters" in models:
         hw = holt_winters.forecast(prepared, cfg)
         outs.append(hw.select(cfg.dimension_col, cfg.date_col, F.col(cfg.value_col).cast("double"), "Model", "error"))
+    if "ARIMA" in models:
+        ar = arima.forecast(prepared, cfg)
+        outs.append(ar.select(cfg.dimension_col, cfg.date_col, F.col(cfg.value_col).cast("double"), "Model", "error"))
     sm = [m for m in models if m in SERIES_MODELS]
     if sm:
         outs.append(fit_series_models(prepared, cfg, sm))

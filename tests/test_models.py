@@ -95,3 +95,23 @@ def test_holt_winters_native_matches_numpy_recursion(spark):
         season = season[1:] + [c * (x - new_l) + (1 - c) * s0]
         lvl = new_l
     assert abs(st.level - lvl) < 1e-9 and abs(st.sse - sse) < 1e-6
+
+
+def test_native_arima_matches_least_squares(spark):
+    from ledgerspark.models import arima
+    coef = np.array([0.3, -0.2, 0.15, 0.1, -0.05])
+    z = [1.0, -0.5, 0.8, 0.2, -1.1]
+    for _ in range(60):
+        z.append(float(np.dot(coef, z[::-1][:5])))
+    exact = np.cumsum([50.0] + z)
+    noisy = _season(70, noise=3.0, seed=11)
+    prep = series.prepare(_frame(spark, {"exact": exact, "noisy": noisy, "flat": np.full(40, 5.0)}), CFG)
+    out = {}
+    for r in arima.forecast(prep, CFG).collect():
+        out.setdefault(r.sku, []).append(r)
+    got = np.array([r.v for r in sorted(out["exact"], key=lambda r: r.d)])
+    assert np.allclose(got, exact[-12:], atol=1e-6)
+    ref = fits.arima_510(noisy[:-12], 12)
+    got = np.array([r.v for r in sorted(out["noisy"], key=lambda r: r.d)])
+    assert np.allclose(got, ref, rtol=1e-6, atol=1e-6)
+    assert [r.error for r in out["flat"]] == ["singular ARIMA system"]
