@@ -54,30 +54,30 @@ def _solve(aug):
 
 def fit(prepared: DataFrame, cfg: SeriesConfig) -> DataFrame:
     """Per series: coefficients (lag 1..P), the last P differences (oldest
-    first), last level and last date, and the training length."""
+    first), last level and last date, and the training length.
+
+    One window pass (lags) and one aggregation that reuses the window's
+    partitioning: no second read of the series."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     train = prepared.filter(F.col(SPLIT) == "train").select(dim, date, IDX, F.col(val).cast("double").alias("y"))
     w = Window.partitionBy(dim).orderBy(IDX)
     z = train.withColumn("z0", F.col("y") - F.lag("y", 1).over(w))
     for k in range(1, P + 1):
         z = z.withColumn(f"z{k}", F.lag("z0", k).over(w))
-    rows = z.filter(F.col(f"z{P}").isNotNull())
-    sums = [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}{j}") for i in range(P + 1) for j in range(i, P + 1)]
-    normal = rows.groupBy(dim).agg(*sums)
-    tail = train.groupBy(dim).agg(
-        F.count(F.lit(1)).alias("n_train"), F.max(date).alias("last_date"),
-        F.max_by("y", IDX).alias("last_y"),
-        F.slice(F.transform(F.array_sort(F.collect_list(F.struct(IDX, "y"))), lambda s: s["y"]),
-                -(P + 1), P + 1).alias("_last"))
-    last_z = F.transform(F.sequence(F.lit(2), F.lit(P + 1)),
-                         lambda i: F.element_at("_last", i) - F.element_at("_last", i - 1))
+    full = F.col(f"z{P}").isNotNull()  # rows with every lag: the regression rows
+    sums = [F.sum(F.when(full, F.col(f"z{i}") * F.col(f"z{j}"))).alias(f"s{i}{j}")
+            for i in range(P + 1) for j in range(i, P + 1)]
+    last = F.max_by(F.struct("y", *[f"z{k}" for k in range(P)]), IDX)
+    agg = z.groupBy(dim).agg(F.count(F.lit(1)).alias("n_train"), F.max(date).alias("last_date"),
+                             last.alias("_last"), *sums)
 
     def s(i, j):
-        return F.col(f"s{min(i, j)}{max(i, j)}")
+        return F.coalesce(F.col(f"s{min(i, j)}{max(i, j)}"), F.lit(0.0))
 
     aug = F.array(*[F.array(*[s(i, j) for j in range(1, P + 1)], s(i, 0)) for i in range(1, P + 1)])
-    return (tail.join(normal, dim, "left")
-            .select(dim, "n_train", "last_date", "last_y", last_z.alias("last_z"), _solve(aug).alias("coef")))
+    last_z = F.array(*[F.col(f"_last.z{k}") for k in range(P - 1, -1, -1)])  # oldest first
+    return agg.select(dim, "n_train", "last_date", F.col("_last.y").alias("last_y"), last_z.alias("last_z"),
+                      _solve(aug).alias("coef"))
 
 
 def forecast(prepared: DataFrame, cfg: SeriesConfig) -> DataFrame:
