@@ -3,16 +3,13 @@
 The reference feeds prompt/response pairs through a byte-pair tokenizer it
 downloads. There is no vocabulary file here, so L2 is re-aimed: a corpus
 vocabulary is built by a distributed word count, ranked (count desc, token
-asc), and ids are joined back -- all DataFrame work; only the rank numbering
-uses ``zipWithIndex`` over the sorted vocabulary (two distributed passes, no
-single-task window).
+asc), and ids are joined back -- all DataFrame work, numbering included.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerspark.functions.text import (
     DEFAULT_EOS, blank_message_reply, extract_response, inference_prompt, training_text,
@@ -53,15 +50,25 @@ def words(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
 def build_vocabulary(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """Token ids by corpus frequency: rank 0 = most frequent, ties by token.
 
-    The count is a partial aggregation; numbering sorts the vocabulary by range
-    partitioning and numbers it with ``zipWithIndex`` (per-partition counts,
-    then offsets), never gathering it into one task."""
+    The count is a partial aggregation. Numbering stays in the JVM: the
+    vocabulary is range-partitioned and sorted by (count desc, token), each
+    row's (partition, position) comes from ``monotonically_increasing_id``,
+    and a running sum over the per-partition sizes (one row per partition,
+    so a proven size bound: broadcast) turns them into global ranks. No
+    single-task window over the vocabulary, no Python per row."""
+    spark = texts.sparkSession
     counts = words(texts, id_col, text_col).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ordered = counts.orderBy(F.col("n").desc(), F.col("token").asc())
-    schema = T.StructType([T.StructField("token", T.StringType()), T.StructField("n", T.LongType()),
-                           T.StructField("token_id", T.LongType())])
-    numbered = ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
-    return texts.sparkSession.createDataFrame(numbered, schema)
+    order = [F.col("n").desc(), F.col("token").asc()]
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = counts.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    mid = F.monotonically_increasing_id()
+    tagged = ordered.select("token", "n", F.shiftright(mid, 33).alias("_pid"),
+                            mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
+    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return tagged.join(F.broadcast(offsets), "_pid").select(
+        "token", "n", (F.col("_off") + F.col("_pos")).cast("bigint").alias("token_id"))
 
 
 def tokenize(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "text",
