@@ -67,7 +67,50 @@ def m3_sarima(spark, sf):
     return _forecast(spark, sf, "SARIMA")
 
 
-@register("m4_arima_forecast_brand", ("M4", "T7", "T12"))
+_ARIMA_SUMS = ", ".join(f"coalesce(sum(CASE WHEN z5 IS NOT NULL THEN z{i} * z{j} END), 0.0) AS s{i}{j}"
+                        for i in range(6) for j in range(i, 6))
+_ARIMA_AUG = "[" + ", ".join("[" + ", ".join(f"s{min(i, j)}{max(i, j)}" for j in range(1, 6)) + f", s0{i}]"
+                             for i in range(1, 6)) + "]"
+
+
+@register("m4_arima_forecast_brand", ("M4", "T7", "T12"), oracle=f"""
+WITH RECURSIVE {_BRAND_SUMS},
+tr AS (SELECT p_brand, d, v FROM f WHERE n >= 24 AND rn > 12),
+zz AS (SELECT p_brand, d, v, v - lag(v, 1) OVER (PARTITION BY p_brand ORDER BY d) AS z0 FROM tr),
+z AS (SELECT *, lag(z0, 1) OVER w AS z1, lag(z0, 2) OVER w AS z2, lag(z0, 3) OVER w AS z3,
+             lag(z0, 4) OVER w AS z4, lag(z0, 5) OVER w AS z5
+      FROM zz WINDOW w AS (PARTITION BY p_brand ORDER BY d)),
+agg AS (SELECT p_brand, count(*) AS n_train, max(d) AS last_date,
+               arg_max(struct_pack(y := v, z0 := z0, z1 := z1, z2 := z2, z3 := z3, z4 := z4), d) AS lst,
+               {_ARIMA_SUMS}
+        FROM z GROUP BY p_brand),
+el AS (SELECT p_brand, 0 AS k, {_ARIMA_AUG} AS m FROM agg WHERE n_train >= 11
+       UNION ALL
+       SELECT p_brand, k + 1,
+              list_transform(m, lambda row, i: CASE WHEN i <= k + 1 THEN row
+                   ELSE list_transform(row, lambda x, j: x - (row[k + 1] / m[k + 1][k + 1]) * m[k + 1][j]) END)
+       FROM el WHERE k < 4),
+up AS (SELECT p_brand, m FROM el WHERE k = 4),
+bs AS (SELECT p_brand, m, 6 AS i, []::DOUBLE[] AS x FROM up
+       UNION ALL
+       SELECT p_brand, m, i - 1,
+              list_prepend((m[i - 1][6] - list_reduce(list_prepend(0.0::DOUBLE,
+                   list_transform(x, lambda xv, j: m[i - 1][i - 1 + j] * xv)), lambda a, b: a + b)) / m[i - 1][i - 1], x)
+       FROM bs WHERE i > 1),
+coef AS (SELECT p_brand, list_reverse(x) AS crev FROM bs WHERE i = 1),
+fc AS (SELECT a.p_brand, 0 AS k, [a.lst.z4, a.lst.z3, a.lst.z2, a.lst.z1, a.lst.z0] AS w, a.lst.y AS lvl, c.crev,
+              a.last_date
+       FROM agg a JOIN coef c ON a.p_brand = c.p_brand
+       UNION ALL
+       SELECT p_brand, k + 1,
+              list_append(w[2:5], 0.0 + list_reduce(list_prepend(0.0::DOUBLE, list_transform(w, lambda wv, j: crev[j] * wv)), lambda a, b: a + b)),
+              lvl + (0.0 + list_reduce(list_prepend(0.0::DOUBLE, list_transform(w, lambda wv, j: crev[j] * wv)), lambda a, b: a + b)),
+              crev, last_date
+       FROM fc WHERE k < 12)
+SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS l_shipdate, round(lvl, 4) AS l_quantity,
+       'ARIMA' AS Model
+FROM fc WHERE k >= 1
+""")
 def m4_arima(spark, sf):
     return _forecast(spark, sf, "ARIMA")
 
