@@ -250,3 +250,23 @@ def test_pairs_vocabulary_tokenize(spark):
     out = textprep.chat_prompts(msgs).collect()
     assert out[0].prompt == "### Instruction: hi\n### Response:" and out[0].reply is None
     assert out[1].prompt is None and out[1].reply == BLANK_MESSAGE_WARNING and out[2].reply == BLANK_MESSAGE_WARNING
+
+
+@pytest.mark.parametrize("freq,expected", [
+    ("h", [(D(2020, 1, 1, 0), 1.0), (D(2020, 1, 1, 1), 0.0), (D(2020, 1, 1, 2), 2.0)]),
+    ("QS", [(D(2020, 1, 1), 1.0), (D(2020, 4, 1), 0.0), (D(2020, 7, 1), 2.0)]),
+    ("YS", [(D(2020, 1, 1), 1.0), (D(2021, 1, 1), 0.0), (D(2022, 1, 1), 2.0)]),
+])
+def test_resample_other_frequencies(spark, freq, expected):
+    cfg = SeriesConfig("Product", "Date", "Amount", freq, min_history=1, test_mode=False)
+    last = {"h": D(2020, 1, 1, 2, 30), "QS": D(2020, 8, 15), "YS": D(2022, 3, 1)}[freq]
+    df = spark.createDataFrame([("a", D(2020, 1, 1, 0, 10), 1.0), ("a", last, 2.0)],
+                               "Product string, Date timestamp_ntz, Amount double")
+    assert rows(series.resample(df, cfg), "Date", "Amount") == expected
+
+
+def test_unsupported_frequency_and_zero_test_size_raise():
+    with pytest.raises(ValueError, match="unsupported freq"):
+        SeriesConfig("a", "b", "c", "W")
+    with pytest.raises(ValueError, match="test_size"):
+        SeriesConfig("a", "b", "c", "MS", test_size=0)
