@@ -56,6 +56,10 @@ def bin_start(c, freq: str) -> Column:
 
 
 def parse_timestamp(c, formats) -> Column:
-    """First format that parses; NULL when none does (never raises)."""
+    """First format that parses, as TIMESTAMP_NTZ; NULL when none does (never
+    raises). ``try_to_timestamp`` only tests validity; the value comes from
+    ``to_timestamp_ntz``, which no time zone shifts (a midnight inside a
+    daylight-saving gap stays midnight)."""
     text = _c(c).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    return F.coalesce(*[F.when(F.try_to_timestamp(text, F.lit(f)).isNotNull(),
+                               F.to_timestamp_ntz(text, F.lit(f))) for f in formats])

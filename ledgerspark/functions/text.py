@@ -31,8 +31,14 @@ def concat_lenient(*cols) -> Column:
 
 
 def date_text(c) -> Column:
-    """FORMAT(x, 'yyyy-MM-dd') / TO_CHAR(x, 'yyyy-MM-dd')."""
-    return F.date_format(_c(c), "yyyy-MM-dd")
+    """FORMAT(x, 'yyyy-MM-dd') / TO_CHAR(x, 'yyyy-MM-dd'). A cast through DATE:
+    for TIMESTAMP_NTZ no time zone is involved."""
+    return _c(c).cast("date").cast("string")
+
+
+def datetime_text(c) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ, zone-free (fractions dropped)."""
+    return F.substring(_c(c).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def normalise_error_text(c) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.config import SeriesConfig
 from ledgerspark.functions.dates import month_start
+from ledgerspark.functions.text import date_text, datetime_text
 from ledgerspark.models import holt_winters, runner
 from ledgerspark.operators import series, validate
 from ledgerspark.plans.catalog import register
@@ -173,7 +174,7 @@ def d11_monthly_sales_forecast(spark, sf):
 def d12_daily_forecast(spark, sf):
     """Daily amounts per product (events stand in for the cosmetics sheet), Prophet."""
     ev = table(spark, sf, "events").select(
-        F.col("event_type").alias("Product"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Date"),
+        F.col("event_type").alias("Product"), datetime_text("ts").alias("Date"),
         F.col("value").cast("string").alias("Amount ($)"))
     clean, _e, _m = validate.validate_split(ev, CFG_DAILY)
     res = runner.backtest(clean, CFG_DAILY, ["Prophet"])
@@ -188,7 +189,7 @@ def d13_retail_forecast(spark, sf):
     raw = li.join(part, li.l_partkey == part.p_partkey).select(
         F.year("l_shipdate").alias("YEAR"), F.month("l_shipdate").alias("MONTH"),
         F.col("p_brand").alias("ITEM CODE"), F.col("l_extendedprice").alias("RETAIL SALES"))
-    raw = raw.withColumn("Date", F.date_format(month_start("YEAR", "MONTH"), "yyyy-MM-dd")) \
+    raw = raw.withColumn("Date", date_text(month_start("YEAR", "MONTH"))) \
         .withColumn("RETAIL SALES", F.col("RETAIL SALES").cast("string"))
     clean, _e, _m = validate.validate_split(raw.select("Date", "ITEM CODE", "RETAIL SALES"), CFG_RETAIL)
     res = runner.backtest(clean, CFG_RETAIL, ["Prophet"])

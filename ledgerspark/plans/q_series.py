@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.config import SeriesConfig
 from ledgerspark.functions.dates import month_start
+from ledgerspark.functions.text import date_text, datetime_text
 from ledgerspark.operators import metrics, recon, series, validate
 from ledgerspark.plans.catalog import register
 from ledgerspark.session import table
@@ -275,9 +276,11 @@ def raw_long_table(spark, sf):
     product = F.when(k % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority"))
     date = (F.when(k % 11 == 0, F.lit(None).cast("string"))
             .when(k % 11 == 1, F.lit("not a date"))
-            .when(k % 11 == 2, F.date_format("o_orderdate", "dd/MM/yyyy"))
-            .when(k % 11 == 3, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
-            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+            .when(k % 11 == 2, F.concat_ws("/", F.lpad(F.dayofmonth("o_orderdate").cast("string"), 2, "0"),
+                                            F.lpad(F.month("o_orderdate").cast("string"), 2, "0"),
+                                            F.year("o_orderdate").cast("string")))
+            .when(k % 11 == 3, datetime_text("o_orderdate"))
+            .otherwise(date_text("o_orderdate")))
     amount = (F.when(k % 13 == 0, F.lit(None).cast("string"))
               .when(k % 13 == 1, F.lit("")).when(k % 13 == 2, F.lit("nan"))
               .when(k % 13 == 3, F.lit("1,000")).when(k % 13 == 4, F.lit(" 12 "))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.config import ARCHIVE_RETENTION_DAYS
-from ledgerspark.functions.dates import ntz_literal
+from ledgerspark.functions.dates import ntz_literal, parse_timestamp
 from ledgerspark.sinks.tables import BATCH_TRANSFER
 
 DAY_FORMAT = "yyyyMMdd"
@@ -66,7 +66,7 @@ def day_partition(ts: Column) -> Column:
 def retained(part_value: Column, as_of: dt.date, days: int = ARCHIVE_RETENTION_DAYS) -> Column:
     """K11 rule on a folder value: keep when its date is not older than
     ``as_of - days`` (strict ``<`` deletes) or when it does not parse."""
-    d = F.try_to_timestamp(part_value.cast("string"), F.lit(DAY_FORMAT)).cast("timestamp_ntz")
+    d = parse_timestamp(part_value, [DAY_FORMAT])
     cutoff = ntz_literal(as_of - dt.timedelta(days=days))
     return d.isNull() | (d >= cutoff)
 
