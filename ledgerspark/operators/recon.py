@@ -111,9 +111,10 @@ def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: s
     """
     w, a = wms.distinct(), ax.distinct()
     kw, ka = F.col(f"`{key_wms}`"), F.col(f"`{key_ax}`")
-    left = w.join(a, w[key_wms] == a[key_ax], "left")
+    a_k = a.filter(ka.isNotNull())  # what the left join reads of the ERP side: the same plan,
+    left = w.join(a_k, w[key_wms] == a_k[key_ax], "left")  # so its key shuffle is reused below
     w_keys = w.select(kw.alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    only_a = a.join(w_keys, ka == F.col("_k"), "left_anti")
+    only_a = a_k.join(w_keys, ka == F.col("_k"), "left_anti").unionByName(a.filter(ka.isNull()))
     w_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in w.schema.fields]
     cols = [F.col(f"`{c}`") for c in w.columns] + [F.col(f"`{c}`") for c in a.columns]
     right = only_a.select(*w_nulls, *[F.col(f"`{c}`") for c in a.columns])
