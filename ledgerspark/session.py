@@ -47,16 +47,22 @@ def get_spark(master: str | None = None, app: str = "ledgerspark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is a fresh scratch folder chosen.
+    On a cluster that setting (session conf, SparkConf, or a checkpoint
+    folder already set on the context) points at shared storage and is used
+    as is. Only when none is set (local tests) is a fresh scratch folder chosen.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+               or sc.getCheckpointDir())
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            spark.conf.set("spark.checkpoint.dir", current)
         return current
     path = tempfile.mkdtemp(prefix="ledgerspark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
