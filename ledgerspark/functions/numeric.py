@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text that pandas.to_numeric accepts (after trimming): decimal numbers with an
-# optional exponent, and infinities. 'nan', '1,000', '1d' and '' are rejected.
-NUMERIC_TEXT = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
+# Fixed values reproducing what pandas.to_numeric accepts: a decimal number
+# with optional exponent, with surrounding ASCII whitespace allowed, no
+# overflow to infinity, and (written exponent - digits after the point) <= 308;
+# or exactly "inf"/"infinity" (any case, optional sign, no surrounding
+# whitespace). 'nan', '1,000', '1d' and '' are rejected.
+NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+MAX_DECIMAL_EXPONENT = 308
+INF_TEXT = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
+_EDGE_WS = "^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$"
 
 MONEY = "decimal(18,2)"
 
@@ -16,15 +22,30 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _parts(c):
+    raw = _c(c).cast("string")
+    stripped = F.regexp_replace(raw, _EDGE_WS, "")
+    number = stripped.try_cast("double")
+    frac_digits = F.length(F.regexp_extract(stripped, r"^[+-]?[0-9]*\.?([0-9]*)", 1))
+    exp_text = F.regexp_extract(stripped, r"[eE]([+-]?[0-9]+)$", 1)
+    exp_ok = F.coalesce(exp_text.try_cast("bigint") - frac_digits <= MAX_DECIMAL_EXPONENT,
+                        exp_text.startswith("-"))  # an exponent too long for bigint: only negative passes
+    is_number = stripped.rlike(NUMBER_TEXT) & (F.abs(number) != F.lit(float("inf"))) & \
+        F.when(exp_text == "", F.lit(True)).otherwise(exp_ok)
+    is_inf = raw.rlike(INF_TEXT)
+    return raw, number, F.coalesce(is_number, F.lit(False)), F.coalesce(is_inf, F.lit(False))
+
+
 def is_numeric_text(c) -> Column:
-    """True when the text converts to a number the way pandas does."""
-    return F.coalesce(F.trim(_c(c).cast("string")).rlike(NUMERIC_TEXT), F.lit(False))
+    """True when the text converts to a number the way pandas.to_numeric does."""
+    _raw, _number, is_number, is_inf = _parts(c)
+    return is_number | is_inf
 
 
 def text_to_double(c) -> Column:
     """Convert checked text to DOUBLE; NULL for anything ``is_numeric_text`` rejects."""
-    t = F.trim(_c(c).cast("string"))
-    return F.when(is_numeric_text(t), t.try_cast("double"))
+    raw, number, is_number, is_inf = _parts(c)
+    return F.when(is_number, number).when(is_inf, raw.try_cast("double"))
 
 
 def to_int_code(c) -> Column:

@@ -303,11 +303,18 @@ raw AS (
          WHEN o_orderkey % 13 = 6 THEN '1d'
          ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS Amount
   FROM orders),
+st AS (SELECT *, regexp_replace(Amount, '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') AS s FROM raw),
 flagged AS (
   SELECT o_orderkey, Product,
     coalesce(try_strptime(Date, '%Y-%m-%d %H:%M:%S'), try_strptime(Date, '%Y-%m-%d')) AS Date, Amount,
-    coalesce(regexp_full_match(trim(Amount), '[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)'), false) AS ok_num
-  FROM raw),
+    coalesce((regexp_full_match(s, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')
+              AND isfinite(TRY_CAST(s AS DOUBLE))
+              AND (regexp_extract(s, '[eE]([+-]?[0-9]+)$', 1) = ''
+                   OR coalesce(TRY_CAST(regexp_extract(s, '[eE]([+-]?[0-9]+)$', 1) AS BIGINT)
+                               - length(regexp_extract(s, '^[+-]?[0-9]*\.?([0-9]*)', 1)) <= 308,
+                               starts_with(regexp_extract(s, '[eE]([+-]?[0-9]+)$', 1), '-'))))
+             OR regexp_full_match(Amount, '[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?'), false) AS ok_num
+  FROM st),
 f2 AS (
   SELECT *, concat(
     CASE WHEN Product IS NULL THEN 'Missing Product; ' ELSE '' END,
@@ -329,7 +336,9 @@ def r4_validation_errors(spark, sf):
 
 @register("r4_validation_clean", ("R4",), oracle=f"""
 WITH {_RAW_SQL}
-SELECT o_orderkey, Product, Date, CAST(trim(Amount) AS DOUBLE) AS Amount FROM f2 WHERE Error_Flag = ''
+SELECT o_orderkey, Product, Date,
+       CAST(regexp_replace(Amount, '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') AS DOUBLE) AS Amount
+FROM f2 WHERE Error_Flag = ''
 """)
 def r4_validation_clean(spark, sf):
     clean, _errors, _m = validate.validate_split(raw_long_table(spark, sf), CFG_RAW)

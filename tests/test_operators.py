@@ -270,3 +270,26 @@ def test_unsupported_frequency_and_zero_test_size_raise():
         SeriesConfig("a", "b", "c", "W")
     with pytest.raises(ValueError, match="test_size"):
         SeriesConfig("a", "b", "c", "MS", test_size=0)
+
+
+def test_numeric_rule_agrees_with_pandas(spark):
+    """R4's numeric check and conversion against pandas.to_numeric (the
+    reference's own rule) on generated text."""
+    import random
+
+    import pandas as pd
+    rng = random.Random(7)
+    alphabet = list("0123456789.eE+- ,infatyINFd_\t\n")
+    texts = {"1", " 12 ", "\t12\n", "inf", "-inf", " inf ", "Infinity", "nan", "1,000", "1d", "", "1e5", "1e",
+             ".5", "5.", ".", "+", "1_000", "1e309", "-1e309", "2e-400", "+.5e-3", "1.2.3"}
+    while len(texts) < 1500:
+        texts.add("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 6))))
+    texts = sorted(texts)
+    got = {r.t: (r.ok, r.x) for r in spark.createDataFrame([(t,) for t in texts], "t string")
+           .select("t", is_numeric_text("t").alias("ok"), text_to_double("t").alias("x")).collect()}
+    want = pd.to_numeric(pd.Series(texts, dtype=object), errors="coerce")
+    for t, w in zip(texts, want):
+        ok, x = got[t]
+        assert ok == bool(pd.notna(w)), repr(t)
+        if ok:
+            assert x == w, repr(t)
