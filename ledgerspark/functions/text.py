@@ -12,8 +12,11 @@ DEFAULT_EOS = "<|endoftext|>"
 BLANK_MESSAGE_WARNING = "\u26a0\ufe0f Please enter a valid question."
 UNKNOWN_ERROR = "Unknown"
 
-# Characters Python's str.strip() removes for ASCII text.
-_STRIP_CLASS = "[ \\t\\n\\r\\f\\x0B]"
+# The characters Python's str.strip() removes (str.isspace), as a
+# regex class both Java and RE2 read.
+PY_WHITESPACE = ("[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+                 "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+_STRIP_CLASS = PY_WHITESPACE
 
 
 def _c(x) -> Column:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.text import RESPONSE_MARKER, inference_prompt, training_text
+from ledgerspark.functions.text import PY_WHITESPACE, RESPONSE_MARKER, inference_prompt, training_text
 from ledgerspark.operators import textprep
 from ledgerspark.plans.catalog import register
 from ledgerspark.session import table
 
-_WS = r"[ \t\n\r\f\x0B]"
+_WS = r"[ \t\n\r\f\x0B]"      # token separators (L2)
+_STRIP = PY_WHITESPACE            # what Python's str.strip() removes (L4, L5)
 
 _PAIRS_SQL = """
 pairs AS (
@@ -95,7 +96,7 @@ WITH m AS (
               WHEN conv_id % 7 = 0 THEN ' ' || chr(9) || ' ' || chr(10)
               ELSE text END AS text
   FROM conversations WHERE role = 'user'),
-b AS (SELECT *, regexp_replace(coalesce(text, ''), '^{_WS}+|{_WS}+$', '', 'g') = '' AS blank FROM m)
+b AS (SELECT *, regexp_replace(coalesce(text, ''), '^{_STRIP}+|{_STRIP}+$', '', 'g') = '' AS blank FROM m)
 SELECT conv_id, turn, text,
        CASE WHEN blank THEN NULL ELSE '### Instruction: ' || text || chr(10) || '### Response:' END AS prompt,
        CASE WHEN blank THEN '⚠️ Please enter a valid question.' END AS reply
@@ -129,7 +130,7 @@ g AS (
   FROM pairs)
 SELECT conv_id, turn, text,
        CASE WHEN strpos(text, '### Response:') > 0
-            THEN regexp_replace(string_split(text, '### Response:')[-1], '^{_WS}+|{_WS}+$', '', 'g')
+            THEN regexp_replace(string_split(text, '### Response:')[-1], '^{_STRIP}+|{_STRIP}+$', '', 'g')
             ELSE text END AS response
 FROM g
 """)

@@ -293,3 +293,19 @@ def test_numeric_rule_agrees_with_pandas(spark):
         assert ok == bool(pd.notna(w)), repr(t)
         if ok:
             assert x == w, repr(t)
+
+
+def test_strip_and_extraction_agree_with_python(spark):
+    """python_strip / extract_response against str.strip() and str.split()."""
+    import random
+
+    from ledgerspark.functions.text import python_strip
+    rng = random.Random(3)
+    pieces = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", " ", "　", "a", "é",
+              "### Response:", "x y"]
+    texts = sorted({"".join(rng.choice(pieces) for _ in range(rng.randint(0, 6))) for _ in range(800)})
+    got = {r.t: (r.s, r.e) for r in spark.createDataFrame([(t,) for t in texts], "t string")
+           .select("t", python_strip("t").alias("s"), extract_response("t").alias("e")).collect()}
+    for t in texts:
+        want_e = t.split("### Response:")[-1].strip() if "### Response:" in t else t
+        assert got[t] == (t.strip(), want_e), repr(t)
