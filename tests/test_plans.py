@@ -25,3 +25,11 @@ def test_plan_shape(spark, name):
         scan = re.search(r"FileScan parquet \[([^\]]*)\]", line)
         if scan and "lineitem.parquet" in line:
             assert scan.group(1).count("#") < 11, f"{name} reads every lineitem column"
+
+
+@pytest.mark.parametrize("name,table", [("d6_erp_orders", "labels"), ("j2_j3_double_alias", "documents")])
+def test_unused_left_join_is_removed(spark, name, table):
+    """A left join whose columns are never used, under DISTINCT / GROUP BY,
+    is removed by Catalyst -- the table is not even scanned."""
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert f"{table}.parquet" not in plan
