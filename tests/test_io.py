@@ -81,6 +81,10 @@ def test_incremental_csv_ingest_loads_each_file_once(spark, tmp_dir):
     log2 = csv_ingest.ingest_new_csv(spark, landing, "k int, v string", target, "t", archive, ckpt)
     assert sum(x["rows"] for x in log1) == 2 and sum(x["rows"] for x in log2) == 1
     assert sorted(r.k for r in target.read(spark, "t").collect()) == [1, 2, 3]
+    # files of committed batches move to the archive (the newest one on a later run)
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
+    assert "a.csv" in archived
+    assert not os.path.exists(os.path.join(landing, "a.csv"))
 
 
 def test_extract_and_concurrent_actions(spark):
