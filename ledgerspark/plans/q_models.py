@@ -34,7 +34,7 @@ _GRID_SQL = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)"
                       for a, b, c in itertools.product(holt_winters.GRID_VALUES, repeat=3))
 
 
-@register("m2_holt_winters_forecast_brand", ("M2", "T6"), oracle=f"""
+_HW_SQL = f"""
 WITH RECURSIVE {_BRAND_SUMS},
 tr AS (SELECT p_brand, d, v, row_number() OVER (PARTITION BY p_brand ORDER BY d) AS i FROM f WHERE n >= 24 AND rn > 12),
 cnt AS (SELECT p_brand, count(*) AS nt, max(d) AS last_date FROM tr GROUP BY 1 HAVING count(*) >= 24),
@@ -58,11 +58,38 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER
 SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS l_shipdate,
        round(l + k * t + s[((k - 1) % 12) + 1], 4) AS l_quantity, 'Holt-Winters' AS Model
 FROM best, range(1, 13) h(k)
-""")
+"""
+
+
+@register("m2_holt_winters_forecast_brand", ("M2", "T6"), oracle=f"""{_HW_SQL}""")
 def m2_holt_winters(spark, sf):
     return _forecast(spark, sf, "Holt-Winters")
 
 
+_HW_SCORES_SQL = _HW_SQL.replace("""SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS l_shipdate,
+       round(l + k * t + s[((k - 1) % 12) + 1], 4) AS l_quantity, 'Holt-Winters' AS Model
+FROM best, range(1, 13) h(k)""", """, fc AS (SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS d, l + k * t + s[((k - 1) % 12) + 1] AS p
+            FROM best, range(1, 13) h(k))
+SELECT 'Holt-Winters' AS Model, f.p_brand,
+       round(sqrt(avg((f.v - fc.p) * (f.v - fc.p))), 6) AS RMSE, round(avg(abs(f.v - fc.p)), 6) AS MAE,
+       CASE WHEN max(CASE WHEN f.v = 0 THEN 1 ELSE 0 END) = 1 THEN NULL
+            ELSE round(avg(abs((f.v - fc.p) / f.v)) * 100, 6) END AS "MAPE (%)"
+FROM f JOIN fc ON f.p_brand = fc.p_brand AND f.d = fc.d
+WHERE f.n >= 24 AND f.rn <= 12
+GROUP BY f.p_brand""")
+
+
+@register("m2_backtest_scores_brand", ("M2", "T8", "T9", "T10", "T11", "R5"), oracle=f"""
+SELECT * FROM ({_HW_SCORES_SQL}) q WHERE RMSE IS NOT NULL AND MAE IS NOT NULL AND "MAPE (%)" IS NOT NULL
+""")
+def m2_backtest_scores_brand(spark, sf):
+    """SURVEY 7.2's minimum slice: lineitem x part -> monthly quantity per brand ->
+    T1-T3 (24/12) -> Holt-Winters -> RMSE / MAE / MAPE on the hold-out."""
+    res = runner.backtest(brand_input(spark, sf), CFG_BRAND, ["Holt-Winters"])
+    return res["forecast_error"].select("Model", "p_brand", *[F.round(c, 6).alias(c)
+                                                             for c in ("RMSE", "MAE", "MAPE (%)")])
+
+
 @register("m3_sarima_forecast_brand", ("M3", "T12"))
 def m3_sarima(spark, sf):
     return _forecast(spark, sf, "SARIMA")
