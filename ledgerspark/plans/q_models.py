@@ -192,8 +192,8 @@ def d11_monthly_sales_forecast(spark, sf):
     long = validate.reshape_wide(wide_sales_sheet(spark, sf), "Material", 9, "Date", "Sales")
     long = long.withColumn("Sales", F.col("Sales").cast("string"))  # sheet cells arrive as text
     target = ParquetTarget(scratch_table_path(spark, f"d11/{uuid.uuid4().hex[:12]}"))
-    runner.forecast_and_load(long, CFG_SHEET, "ml_sales", target)
-    out = target.read(spark, "ml_sales_forecast")
+    runner.forecast_and_load(long, CFG_SHEET, "monthly_sales", target)
+    out = target.read(spark, "monthly_sales_forecast")
     return out.select("Date", F.round("Sales", 4).alias("Sales"), "Material", "Model")
 
 
