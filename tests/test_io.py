@@ -93,3 +93,17 @@ def test_extract_and_concurrent_actions(spark):
     assert out == {"a": 5, "b": 7}
     with pytest.raises(RuntimeError, match="'bad'"):
         extract.extract_all({"bad": lambda: 1 / 0})
+
+
+def test_date_range_predicates_cover_window_once():
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31, 12)
+    preds = jdbc.date_range_predicates("d", start, end, 4)
+    assert len(preds) == 4
+    assert preds[0].startswith("d >= '2024-01-01 00:00:00.000' AND d < ")
+    assert preds[-1].endswith("d <= '2024-01-31 12:00:00.000'")
+    # consecutive predicates share a bound: each upper bound is the next lower bound
+    uppers = [p.split(" AND ")[1].split(" ", 2)[2] for p in preds[:-1]]
+    lowers = [p.split(" AND ")[0].split(" ", 2)[2] for p in preds[1:]]
+    assert uppers == lowers
+    with pytest.raises(ValueError):
+        jdbc.date_range_predicates("d", end, start, 2)
