@@ -33,3 +33,25 @@ def test_unused_left_join_is_removed(spark, name, table):
     is removed by Catalyst -- the table is not even scanned."""
     plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert f"{table}.parquet" not in plan
+
+
+def test_hot_series_is_pre_aggregated_before_shuffle(spark):
+    """One series owning a third of the rows: the per-(series, bin) sum runs
+    map-side (partial aggregate) before the first shuffle, so no task ever
+    receives that series' raw rows; totals are kept."""
+    from pyspark.sql import functions as F
+
+    from ledgerspark.config import SeriesConfig
+    from ledgerspark.operators import series
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("k"),
+        F.timestamp_seconds(F.lit(1577836800) + F.col("id") * 3600).cast("timestamp_ntz").alias("d"),
+        F.lit(1.0).alias("v"))
+    cfg = SeriesConfig("k", "d", "v", "MS", min_history=1, test_mode=False)
+    out = series.resample(df, cfg)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.rfind("Exchange")
+    assert "partial_sum" in plan[first_exchange:], "no map-side partial sum below the first shuffle"
+    totals = dict(out.groupBy("k").agg(F.sum("v")).collect())
+    assert totals["hot"] == n // 3 and sum(totals.values()) == n
