@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.config import SeriesConfig
 from ledgerspark.functions.dates import parse_timestamp
-from ledgerspark.functions.numeric import is_numeric_text, nonfinite_to_null, text_to_double
+from ledgerspark.functions.numeric import nonfinite_to_null, text_to_double
 
 METRIC_COLUMNS = ("RMSE", "MAE", "MAPE (%)")
 ERROR_FLAG = "Error_Flag"
@@ -30,35 +31,59 @@ def reshape_wide(df: DataFrame, id_col: str = "Material", leading: int = 9,
     return wide.unpivot([id_col], date_cols, date_col, value_col)
 
 
-def flag_rows(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
-    """R4 core: the long table with ``Error_Flag`` (reasons in fixed order, each
-    followed by a blank), the date parsed (bad text -> NULL)."""
+_NUM = "_converted_value"
+
+
+def _flag(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
+    """The long table with the parsed date (bad text -> NULL), the converted
+    value (``_converted_value``, NULL when not numeric) and ``Error_Flag``
+    (reasons in fixed order, each followed by a blank).
+
+    Date parsing and number conversion are computed once, as columns; the
+    flags and both outputs only read those columns (no repeated parsing)."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
-    parsed = parse_timestamp(F.col(f"`{date}`"), cfg.date_formats)
-    value = F.col(f"`{val}`")
+    others = [F.col(f"`{c}`") for c in df.columns if c != date]
+    step = df.select(*others, parse_timestamp(F.col(f"`{date}`"), cfg.date_formats).alias(date),
+                     text_to_double(F.col(f"`{val}`")).alias(_NUM))
     reasons: list[Column] = [
         F.when(F.col(f"`{dim}`").isNull(), F.lit(f"Missing {dim}; ")),
-        F.when(parsed.isNull(), F.lit(f"Invalid {date}; ")),
-        F.when(value.isNull(), F.lit(f"Missing {val}; ")),
-        F.when(~is_numeric_text(value), F.lit(f"Non-numeric {val}; ")),
+        F.when(F.col(f"`{date}`").isNull(), F.lit(f"Invalid {date}; ")),
+        F.when(F.col(f"`{val}`").isNull(), F.lit(f"Missing {val}; ")),
+        # numeric exactly when the conversion gives a value (see functions.numeric)
+        F.when(F.col(_NUM).isNull(), F.lit(f"Non-numeric {val}; ")),
     ]
-    others = [F.col(f"`{c}`") for c in df.columns if c not in (date,)]
-    return df.select(*others, parsed.alias(date), F.concat_ws("", *reasons).alias(ERROR_FLAG))
+    return step.withColumn(ERROR_FLAG, F.concat_ws("", *reasons))
+
+
+def flag_rows(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
+    """R4 core: the long table with ``Error_Flag``, the date parsed."""
+    return _flag(df, cfg).drop(_NUM)
+
+
+def _rows_where(df: DataFrame, cond: Column) -> DataFrame:
+    """``df.filter(cond)``, evaluated after ``df``'s projection: each row is
+    emitted through ``explode`` of a zero- or one-element array. A plain
+    filter on a computed column is pushed below the projection, so every row
+    would evaluate the parsing expressions twice (in the filter, then again
+    in the projection); the generator keeps them to one evaluation."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    row_type = df.select(row.alias("_r")).schema["_r"].dataType
+    none = F.array().cast(T.ArrayType(row_type))
+    return df.select(F.explode(F.when(cond, F.array(row)).otherwise(none)).alias("_r")).select("_r.*")
 
 
 def validate_split(df: DataFrame, cfg: SeriesConfig):
     """``(clean, errors, members)``.
 
     ``clean`` has no flag column and the value converted to DOUBLE; ``errors``
-    keeps the flag and the original value text. The flagged frame is a single
-    projection; both outputs are filters over it, so one scan feeds both when
-    the caller caches or writes it once.
+    keeps the flag and the original value text. Both come from one flagged
+    projection that is evaluated once per row.
     """
-    flagged = flag_rows(df, cfg)
+    flagged = _flag(df, cfg)
     val = cfg.value_col
-    clean = (flagged.filter(F.col(ERROR_FLAG) == "").drop(ERROR_FLAG)
-             .withColumn(val, text_to_double(F.col(f"`{val}`"))))
-    errors = flagged.filter(F.col(ERROR_FLAG) != "")
+    clean = (_rows_where(flagged, F.col(ERROR_FLAG) == "")
+             .withColumn(val, F.col(_NUM)).drop(ERROR_FLAG, _NUM))
+    errors = _rows_where(flagged, F.col(ERROR_FLAG) != "").drop(_NUM)
     members = clean.select(cfg.dimension_col).distinct()
     return clean, errors, members
 
