@@ -309,3 +309,12 @@ def test_strip_and_extraction_agree_with_python(spark):
     for t in texts:
         want_e = t.split("### Response:")[-1].strip() if "### Response:" in t else t
         assert got[t] == (t.strip(), want_e), repr(t)
+
+
+def test_upsert_without_matching_script_changes_nothing(spark):
+    logs = spark.createDataFrame([("s1", D(2024, 1, 1), D(2024, 1, 1, 1), dt.date(2024, 1, 1), "Completed", "full")],
+                                 "script_name string, start_datetime timestamp_ntz, end_datetime timestamp_ntz, "
+                                 "rundate date, status string, load_type string")
+    runs = spark.createDataFrame([("other", D(2024, 2, 1), D(2024, 2, 1, 1), dt.date(2024, 2, 1), "Completed",
+                                   "incremental")], logs.schema)
+    assert rows(control.upsert_run_log(logs, runs)) == rows(logs)
