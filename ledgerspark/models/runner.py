@@ -22,7 +22,7 @@ from ledgerspark.config import SeriesConfig
 from ledgerspark.models import arima, fits, holt_winters
 from ledgerspark.operators import metrics, series, validate
 from ledgerspark.operators.series import IDX, N_PERIODS, SPLIT
-from ledgerspark.session import ensure_checkpoint_dir
+from ledgerspark.session import ensure_checkpoint_dir, ship_package
 
 MODEL_NAMES = ("Prophet", "Holt-Winters", "SARIMA", "ARIMA", "MLPRegressor", "LSTM")
 SERIES_MODELS = ("Prophet", "SARIMA")
@@ -95,6 +95,7 @@ def fit_series_models(prepared: DataFrame, cfg: SeriesConfig, models=SERIES_MODE
                 out.append(_rows(key, [ds[-1]], [None], name, f"{type(e).__name__}: {e}", cfg))
         return pd.concat(out, ignore_index=True)
 
+    ship_package(prepared.sparkSession)
     return _spread(train, dim).groupBy(dim).applyInPandas(per_series, _schema(prepared, cfg))
 
 
@@ -143,6 +144,7 @@ def fit_window_model(prepared: DataFrame, cfg: SeriesConfig, model: str) -> Data
         except Exception as e:  # noqa: BLE001
             return _rows(key, [last], [None], model, f"{type(e).__name__}: {e}", cfg)
 
+    ship_package(prepared.sparkSession)
     return t.groupBy(dim).applyInPandas(per_series, _schema(prepared, cfg))
 
 

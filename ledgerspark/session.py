@@ -66,6 +66,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerspark`` importable in the Python workers (grouped maps pickle
+    references to its functions): zip the package once per SparkContext and
+    hand it to ``addPyFile``, which distributes it to every executor."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerspark_shipped", False):
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerspark-pkg-"), "ledgerspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._ledgerspark_shipped = True
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark)
