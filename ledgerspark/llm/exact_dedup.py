@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import longs, map_arrow, ship_package
+from ledgerspark.llm.common import longs, map_arrow, materialize, ship_package
 
 FILTER_ROWS = 500_000  # fingerprints per filter: bounds a task's memory, not the input
 
@@ -133,20 +133,15 @@ def exact_dedup(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("fp"))
     suspects = repeated_fingerprints(rows, buckets)
-    classes = (rows.join(suspects.select("fp"), "fp", "left_semi").groupBy("fp", "text")
-               .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    by_fp = classes.groupBy("fp").agg(F.count("*").alias("texts"), F.max("keep_id").alias("keep_id"),
-                                      F.max("group_size").alias("group_size"))
-    shas = rows.select("doc_id", "fp", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-    # nearly always a fingerprint has one text, and the small row of its class is enough;
-    # rows of a collision are told apart by their verified class
-    collided = (classes.join(by_fp.filter("texts > 1").select("fp"), "fp", "left_semi")
-                .select("fp", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
-                        F.col("keep_id").alias("own_keep"), F.col("group_size").alias("own_size")))
-    out = (shas.join(by_fp, "fp", "left").join(collided, ["fp", "text_sha256"], "left"))
-    keep = F.when(F.col("texts").isNull(), F.col("doc_id")).when(F.col("texts") == 1, F.col("keep_id")).otherwise(F.col("own_keep"))
-    size = F.when(F.col("texts").isNull(), F.lit(1)).when(F.col("texts") == 1, F.col("group_size")).otherwise(F.col("own_size"))
-    return (out.select("doc_id", keep.alias("keep_id"), size.cast("long").alias("group_size"), "text_sha256")
+    sha = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    verified = (rows.join(suspects.select("fp"), "fp", "left_semi").groupBy("fp", "text")
+                .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
+    # one row per verified text; written, so that texts move once and the join below meets a plain table, whose
+    # skewed side Spark can split
+    classes = materialize(verified.select("fp", sha, "keep_id", "group_size"), "text-classes")
+    out = rows.select("doc_id", "fp", sha).join(classes, ["fp", "text_sha256"], "left")
+    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    return (out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
