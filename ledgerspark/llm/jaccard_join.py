@@ -209,10 +209,12 @@ def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).filter("x <> y").distinct()
+        pairs = materialize(pairs, "pairs")
         a, b = first.select(F.col("did").alias("x"), F.col("n").alias("nx"), *[F.col(c).alias("x" + c) for c in bits]), first.select(F.col("did").alias("y"), F.col("n").alias("ny"), *[F.col(c).alias("y" + c) for c in bits])
         apart = sum((F.bit_count(F.col("x" + c).bitwiseXOR(F.col("y" + c))) for c in bits), F.lit(0))
         total = F.col("nx") + F.col("ny")
         near = pairs.join(a, "x").join(b, "y").filter((100 * F.least("nx", "ny") >= threshold * F.greatest("nx", "ny")) & ((100 + threshold) * apart <= (100 - threshold) * total)).select("x", "y").distinct()
+        near = materialize(near, "near-pairs")
         both = near.join(texts.select(F.col("did").alias("x"), F.col("text").alias("tx")), "x").join(texts.select(F.col("did").alias("y"), F.col("text").alias("ty")), "y")
         return map_arrow(both, _linked(words, threshold), "x long, y long").distinct()
 
@@ -233,7 +235,8 @@ def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch
     def mixed(classes: DataFrame) -> DataFrame:
         entries = lists.select("token", "n", "g").join(classes.select("g", "n", "cls").distinct(), ["g", "n"])
         apart = entries.groupBy("token").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a < b").select("token")
-        return entries.join(apart, "token", "left_semi")
+        # written: Spark can split a frequent shingle's rows against a plain table
+        return entries.join(materialize(apart, "mixed-tokens"), "token", "left_semi")
 
     classes = classed(links)
     ends = classes.groupBy("g", "n", "cls").agg(F.min("rep").alias("rep"))

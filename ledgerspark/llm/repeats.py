@@ -138,7 +138,9 @@ def repeated_windows(docs: DataFrame, units: Units, window: int, k: int, across:
     repeated = F.col("key_least") < F.col("key_last") if across else F.col("rows") > 1
     every = materialize(map_arrow(docs.select("did", "rid", "text"), _context_rows(units, window, k), ROW), "contexts")
     keys = every.groupBy("key").agg(F.count("*").alias("rows"), F.min("did").alias("key_least"), F.max("did").alias("key_last"))
-    rows = materialize(every.join(keys.filter(repeated).select("key"), "key", "left_semi"), "repeated-contexts")
+    # written first: against a plain table Spark can split a key that very many rows share
+    keys = materialize(keys.filter(repeated).select("key"), "repeated-keys")
+    rows = materialize(every.join(keys, "key", "left_semi"), "repeated-contexts")
     drop_table(every)
     summary = materialize(_summary(rows).filter(repeated), "distinct-contexts")
     width = window - k + 1
@@ -147,6 +149,7 @@ def repeated_windows(docs: DataFrame, units: Units, window: int, k: int, across:
         if width == 1 or heavy.isEmpty():
             break
         width = -(-width // 4)
+        heavy = materialize(heavy, "heavy-keys")
         parts = (rows.join(heavy, "key", "left_semi").groupBy("did", "rid")
                  .agg(F.collect_set(F.struct("key", "start", "size", "off")).alias("parts")))  # bounded by the document's length
         finer = materialize(map_arrow(docs.join(parts, ["did", "rid"]), _divided(units, window, width), ROW), "divided-contexts")
