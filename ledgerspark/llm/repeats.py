@@ -142,20 +142,23 @@ def repeated_windows(docs: DataFrame, units: Units, window: int, k: int, across:
     keys = materialize(keys.filter(repeated).select("key"), "repeated-keys")
     rows = materialize(every.join(keys, "key", "left_semi"), "repeated-contexts")
     drop_table(every)
-    summary = materialize(_summary(rows).filter(repeated), "distinct-contexts")
     width = window - k + 1
+    heavy = (F.col("units") > most_units) & (F.col("contexts") > 1)
+    level = rows
+    summary = None
     while True:
-        heavy = summary.filter((F.col("units") > most_units) & (F.col("contexts") > 1)).select("key").distinct()
-        if width == 1 or heavy.isEmpty():
+        own = materialize(_summary(level).filter(repeated), "distinct-contexts")
+        light = own if width == 1 else own.filter(~heavy)
+        summary = light if summary is None else summary.unionByName(light)
+        if width == 1 or own.filter(heavy).isEmpty():
             break
+        # contexts of heavy keys stay among the rows, where no answer will meet them; their parts are added
         width = -(-width // 4)
-        heavy = materialize(heavy, "heavy-keys")
-        parts = (rows.join(heavy, "key", "left_semi").groupBy("did", "rid")
+        keys = materialize(own.filter(heavy).select("key").distinct(), "heavy-keys")
+        parts = (level.join(keys, "key", "left_semi").groupBy("did", "rid")
                  .agg(F.collect_set(F.struct("key", "start", "size", "off")).alias("parts")))  # bounded by the document's length
-        finer = materialize(map_arrow(docs.join(parts, ["did", "rid"]), _divided(units, window, width), ROW), "divided-contexts")
-        new = _summary(finer).filter(repeated)
-        rows = rows.join(heavy, "key", "left_anti").unionByName(finer)
-        summary = materialize(summary.join(heavy, "key", "left_anti").unionByName(new), "distinct-contexts")
+        level = materialize(map_arrow(docs.join(parts, ["did", "rid"]), _divided(units, window, width), ROW), "divided-contexts")
+        rows = rows.unionByName(level)
     mixed = summary.filter("contexts > 1")
     wanted = (mixed.select("key", "cid", "n", "least", "rep.*").groupBy("did", "rid")
               .agg(F.collect_list(F.struct("key", "cid", "n", "least", "start", "size")).alias("parts")))

@@ -20,7 +20,7 @@ from ledgerspark.llm.repeats import Units, apply_spans, repeated_windows, runs
 
 WINDOW = 400
 ANCHOR = 50
-GROUP = 600_000  # bytes of distinct text per group
+GROUP = 1_000_000  # bytes of distinct text per group
 
 
 def _cut(texts: pa.Array, parts: list) -> list[list[bytes]]:
@@ -97,25 +97,25 @@ def common_prefix(array: np.ndarray, s: np.ndarray, end: np.ndarray, most: int)
     out = np.zeros(len(array), np.int64)
     if len(array) < 2:
         return out
-    padded = np.concatenate([s, np.zeros(8, s.dtype)]).astype(np.uint16)
+    padded = np.concatenate([(s - 1).astype(np.uint8), np.zeros(8, np.uint8)])  # no comparison reaches an end mark
+    words = padded[:-7].astype(np.uint64)
+    for j in range(1, 8):
+        words |= padded[j:len(padded) - 7 + j].astype(np.uint64) << np.uint64(8 * j)
     a, b = array[:-1], array[1:]
     room = np.minimum(np.minimum(end[a] - a, end[b] - b), most)
     shared = np.zeros(len(a), np.int64)
     alive = np.flatnonzero(room > 0)
-    words = padded[:-3].astype(np.uint64) | padded[1:-2].astype(np.uint64) << np.uint64(16) | padded[2:-1].astype(np.uint64) << np.uint64(32) | padded[3:].astype(np.uint64) << np.uint64(48)
-    while len(alive):  # four symbols at a time
-        at = shared[alive]
-        full = (at + 4 <= room[alive]) & (words[a[alive] + at] == words[b[alive] + at])
-        rest = alive[~full]
-        shared[alive[full]] += 4
-        for _ in range(3):
-            p = shared[rest]
-            ok = p < room[rest]
-            ok[ok] = s[a[rest][ok] + p[ok]] == s[b[rest][ok] + p[ok]]
-            shared[rest[ok]] += 1
-            rest = rest[ok]
-        alive = alive[full]
-        alive = alive[shared[alive] < room[alive]]
+    left, right, most_here = a[alive], b[alive], room[alive]
+    done = 0
+    while len(alive):  # eight bytes at a time; all that are alive share ``done`` bytes
+        differ = words[left + done] ^ words[right + done]
+        # the lowest set bit says where they part
+        first = np.where(differ == 0, 8, np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.int64) // 8)
+        here = np.minimum(done + first, most_here)
+        on = (first == 8) & (here < most_here)
+        shared[alive[~on]] = here[~on]
+        alive, left, right, most_here = alive[on], left[on], right[on], most_here[on]
+        done += 8
     out[1:] = shared
     return out
 
