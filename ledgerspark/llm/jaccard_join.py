@@ -7,7 +7,8 @@ filtered by size, then expanded to their members, filtered by bitmaps, and verif
 
 Only links that can join two classes have to be found, so the join runs in rounds: first each group is checked against its
 nearest neighbours in every shingle's list (sorted by size; one scan, no pairs), the verified links form classes, and this is
-repeated between classes; the last round takes all pairs that share a prefix shingle and are still in different
+repeated between classes, there against the cleanest group of each list (the one with the largest share of shared shingles; copies
+with few changes all link to it). The last round takes all pairs that share enough prefix shingles and are still in different
 classes. Near copies by the thousand are one class before that round, so they never meet pair by pair, and no link is lost.
 
 The global order needs shingle frequencies: a sketch of ``1 << SKETCH_BITS`` counters over all documents gives each shingle a
@@ -30,7 +31,7 @@ from ledgerspark.llm.common import (NULL_ID, flat, longs, lower_ascii, map_arrow
                                     word_hashes, word_spans)
 from ledgerspark.llm.components import components
 
-SKETCH_BITS = 19
+SKETCH_BITS = 20
 BLOCKS = 64
 BITMAP = 8  # 64-bit words
 
@@ -70,13 +71,13 @@ def _levels(rows: DataFrame, words: int, bits: int) -> np.ndarray:
                 total += np.bincount(np.concatenate(found).astype(np.int64), minlength=size) if found else 0
         group = TaskContext.get().partitionId() % 32
         yield pa.RecordBatch.from_arrays([pa.array(np.full(BLOCKS, group, np.int32)), pa.array(np.arange(BLOCKS, dtype=np.int32)),
-                                          pa.array([x.astype(np.int64 if x.max() >= 2 ** 31 else np.int32).tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())],
+                                          pa.array([x.astype(np.min_scalar_type(int(x.max()))).tobytes() for x in total.reshape(BLOCKS, -1)], pa.binary())],
                                          ["part", "block", "counts"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(per_block, np.int64)
         for c in group["counts"]:
-            total += np.frombuffer(c, np.int64 if len(c) == 8 * per_block else np.int32)
+            total += np.frombuffer(c, f"u{len(c) // per_block}").astype(np.int64)
         return pd.DataFrame({"part": [0], "block": [group["block"].iloc[0]], "counts": [total.tobytes()]})
 
     schema = "part int, block int, counts binary"
@@ -84,7 +85,7 @@ def _levels(rows: DataFrame, words: int, bits: int) -> np.ndarray:
     out = np.zeros(size, np.int64)
     for r in summed.collect():  # BLOCKS rows, 8 << bits bytes in all
         out[r.block * per_block:(r.block + 1) * per_block] = np.frombuffer(r.counts, np.int64)
-    return np.ceil(4 * np.log2(np.maximum(out, 1))).astype(np.uint8)
+    return np.ceil(6 * np.log2(np.maximum(out, 1))).astype(np.uint8)
 
 
 def _set_rows(words: int, threshold: int, levels):
@@ -112,49 +113,46 @@ def _set_rows(words: int, threshold: int, levels):
     return run
 
 
+def _near(nx: str, ny: str, x: str, y: str, threshold: int):
+    """Size and bitmap tests that every linked pair passes: two sets differ in at least as many shingles as their parity bitmaps
+    in bits. ``nx``, ``ny`` name the sizes, ``x``, ``y`` the bitmap columns with {} for their number."""
+    a, b = F.col(nx), F.col(ny)
+    apart = sum((F.bit_count(F.col(x.format(i)).bitwiseXOR(F.col(y.format(i)))) for i in range(BITMAP)), F.lit(0))
+    return (100 * F.least(a, b) >= threshold * F.greatest(a, b)) & ((100 + threshold) * apart <= (100 - threshold) * (a + b))
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, n, g, cls) sorted by token, n: adds the row before it in the same token's list if of another class, and
-    drops tokens with one row (a task's first and last token may go on elsewhere and stay)."""
-    last, opening = None, None
-    held: list[pa.RecordBatch] = []
-
-    def out(batch: pa.RecordBatch, keep: np.ndarray, before: np.ndarray, first: dict | None) -> pa.RecordBatch:
-        g, cls, n = (longs(batch, c) for c in ("g", "cls", "n"))
-        pg, pc = np.roll(g, 1), np.roll(cls, 1)
-        pn = np.roll(n, 1)
-        if len(g) and first is not None:
-            pg[0], pc[0], pn[0] = first["g"], first["cls"], first["n"]
-        ok = before & (pc != cls)
-        return pa.RecordBatch.from_arrays([batch.column("token"), batch.column("n"), batch.column("g"), batch.column("cls"),
-                                           pa.array(pg, mask=~ok), pa.array(pc, mask=~ok), pa.array(pn, mask=~ok)],
-                                          ["token", "n", "g", "cls", "pg", "pcls", "pn"]).filter(pa.array(keep))
-
-    pending = None
+    """Rows (token, n, g) sorted by token, n, g: adds the row before it in the same token's list, and drops tokens with one row
+    (a task's first and last token may go on elsewhere and stay)."""
+    opening, last, pending = None, None, None
+
+    def settled(batch: pa.RecordBatch, keep: np.ndarray, before: np.ndarray) -> pa.RecordBatch:
+        g, n = longs(batch, "g"), longs(batch, "n")
+        pg, pn = np.roll(g, 1), np.roll(n, 1)
+        if last is not None:
+            pg[0], pn[0] = last[1], last[2]
+        return pa.RecordBatch.from_arrays([batch.column("token"), batch.column("n"), batch.column("g"), pa.array(pg, mask=~before), pa.array(pn, mask=~before)],
+                                          ["token", "n", "g", "pg", "pn"]).filter(pa.array(keep))
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        batch = pa.RecordBatch.from_arrays([batch.column(c) for c in ("token", "n", "g", "cls")], ["token", "n", "g", "cls"])
-        if pending is not None:  # the last row of a batch waits for the next batch
+        batch = pa.RecordBatch.from_arrays([batch.column(c) for c in ("token", "n", "g")], ["token", "n", "g"])
+        if pending is not None:
             batch = pa.concat_batches([pending, batch])
         token = longs(batch, "token")
         if opening is None:
             opening = token[0]
-        same = np.append(False, token[1:] == token[:-1])
-        before = same.copy()
-        if pending is not None and last is not None:
-            before[0] = last["token"] == token[0]
-        keep = before | np.append(same[1:], False) | (token == opening)
-        r = out(batch, keep, before, last)
-        # the last row is settled with the next batch
-        body = keep[:-1].sum()
-        if body:
-            yield r.slice(0, int(body))
-        if batch.num_rows > 1:
-            last = {c: batch.column(c)[batch.num_rows - 2].as_py() for c in ("token", "g", "cls", "n")}
-        pending = batch.slice(batch.num_rows - 1)
+        same = token[1:] == token[:-1]
+        before = np.append(last is not None and last[0] == token[0], same)
+        keep = before | np.append(same, False) | (token == opening)
+        most = batch.num_rows - 1  # the last row waits for the next batch
+        if most:
+            yield settled(batch.slice(0, most), keep[:most], before[:most])
+            last = tuple(batch.column(c)[most - 1].as_py() for c in ("token", "g", "n"))
+        pending = batch.slice(most)
     if pending is not None:
-        before = np.array([last is not None and last["token"] == pending.column("token")[0].as_py()])
-        yield out(pending, np.array([True]), before, last)
+        yield settled(pending, np.array([True]), np.array([last is not None and last[0] == pending.column("token")[0].as_py()]))
 
 
 def _linked(words: int, threshold: int):
@@ -187,80 +185,81 @@ def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch
                        .withColumn("p", F.xxhash64("prefix")), "sets")
     some = sets.filter("n > 0")
     # equal sets are one; sets of equal size and prefix are one group, named by its smallest document
-    reps = some.groupBy("n", "s1", "s2", "p").agg(F.min("did").alias("rep"))
+    reps = some.groupBy("n", "s1", "s2", "p").agg(F.min("did").alias("rep"), *[F.min(b).alias(b) for b in bits])
     groups = some.groupBy("n", "p").agg(F.min("did").alias("g"), F.any_value("prefix").alias("prefix"))
-    members = materialize(reps.join(groups.select("n", "p", "g"), ["n", "p"]).select("rep", "g", "n", "s1", "s2"), "members")
+    members = materialize(reps.join(groups.select("n", "p", "g"), ["n", "p"]).drop("p"), "members")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def chained(lists: DataFrame) -> DataFrame:
-        lists = lists.repartitionByRange(parts, "token", "n", "g", "cls").sortWithinPartitions("token", "n", "g", "cls")
-        return map_arrow(lists.select("token", "n", "g", "cls"), _neighbours, "token long, n int, g long, cls long, pg long, pcls long, pn int")
-
     # a group's identity is (g, n): with repeated doc_ids two groups can have the same smallest document
-    postings = groups.select(F.explode("prefix").alias("token"), "n", "g").withColumn("cls", F.col("g"))
-    lists = materialize(chained(postings), "shared-shingles")
-    inside = members.groupBy("g", "n").agg(F.count("*").alias("sets")).filter("sets > 1").select("g", "n")
-    involved = (lists.select("g", "n").distinct().unionByName(inside).distinct()
-                .join(members, ["g", "n"]).select(F.col("rep").alias("did"), "n", "s1", "s2").distinct())
-    # texts and bitmaps of sets that may have a partner; a doc_id with several texts has a row for each set
-    first = sets.join(involved, ["did", "n", "s1", "s2"]).select("did", "n", *bits).dropDuplicates(["did", "n"])
-    texts = materialize(rows.join(involved.select("did").distinct(), "did", "left_semi"), "candidate-texts")
-    first = materialize(first, "bitmaps")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).filter("x <> y").distinct()
-        pairs = materialize(pairs, "pairs")
-        a, b = first.select(F.col("did").alias("x"), F.col("n").alias("nx"), *[F.col(c).alias("x" + c) for c in bits]), first.select(F.col("did").alias("y"), F.col("n").alias("ny"), *[F.col(c).alias("y" + c) for c in bits])
-        apart = sum((F.bit_count(F.col("x" + c).bitwiseXOR(F.col("y" + c))) for c in bits), F.lit(0))
-        total = F.col("nx") + F.col("ny")
-        near = pairs.join(a, "x").join(b, "y").filter((100 * F.least("nx", "ny") >= threshold * F.greatest("nx", "ny")) & ((100 + threshold) * apart <= (100 - threshold) * total)).select("x", "y").distinct()
-        near = materialize(near, "near-pairs")
-        both = near.join(texts.select(F.col("did").alias("x"), F.col("text").alias("tx")), "x").join(texts.select(F.col("did").alias("y"), F.col("text").alias("ty")), "y")
-        return map_arrow(both, _linked(words, threshold), "x long, y long").distinct()
-
-    def nearest(pairs: DataFrame, most: int = 2) -> DataFrame:
+    postings = groups.select(F.explode("prefix").alias("token"), "n", "g").repartitionByRange(parts, "token", "n", "g").sortWithinPartitions("token", "n", "g")
+    lists = materialize(map_arrow(postings, _neighbours, "token long, n int, g long, pg long, pn int"), "shared-shingles")
+    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
+    clean = materialize(lists.groupBy("g", "n").agg((F.count("*") / F.any_value(prefix)).alias("clean")), "cleanness")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """The linked ones of ``pairs`` (x, y). Texts are read for pairs that size and bitmaps leave over."""
+        pairs = materialize(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).filter("x <> y").distinct(), "pairs")
+        a = members.select(F.col("rep").alias("x"), F.col("n").alias("nx"), *[F.col(c).alias("x" + c) for c in bits])
+        b = members.select(F.col("rep").alias("y"), F.col("n").alias("ny"), *[F.col(c).alias("y" + c) for c in bits])
+        near = materialize(pairs.join(a, "x").join(b, "y").filter(_near("nx", "ny", "xb{}", "yb{}", threshold)).select("x", "y").distinct(), "near-pairs")
+        ids = materialize(near.select(F.col("x").alias("did")).unionByName(near.select(F.col("y").alias("did"))).distinct(), "near-ids")
+        texts = rows.join(ids, "did", "left_semi")
+        both = (near.join(texts.select(F.col("did").alias("x"), F.col("text").alias("tx")), "x")
+                .join(texts.select(F.col("did").alias("y"), F.col("text").alias("ty")), "y"))
+        return materialize(map_arrow(both, _linked(words, threshold), "x long, y long").distinct(), name)
+
+    def nearest(pairs: DataFrame, most: int) -> DataFrame:
         """Per left side, the partners it meets most often."""
         order = Window.partitionBy("x").orderBy(F.desc("times"), "y")
         counted = pairs.groupBy("x", "y").agg(F.count("*").alias("times"))
         return counted.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most).select("x", "y")
 
-    sized = (100 * F.least("n", "pn") >= threshold * F.greatest("n", "pn"))
-    links = materialize(verified(nearest(lists.filter(F.col("pg").isNotNull() & sized).select(F.col("g").alias("x"), F.col("pg").alias("y")))
-                                 .unionByName(members.filter("rep <> g").select(F.col("rep").alias("x"), F.col("g").alias("y")))), "links-near")
-
-    def classed(links: DataFrame) -> DataFrame:
-        own = members.join(components(links), F.col("rep") == F.col("id"), "left")
-        return materialize(own.select("rep", "g", "n", F.coalesce("component", "rep").alias("cls")), "classes")
+    def classed(links: DataFrame | None) -> DataFrame:
+        own = members if links is None else members.join(components(links), F.col("rep") == F.col("id"), "left")
+        cls = F.col("rep") if links is None else F.coalesce("component", "rep")
+        return materialize(own.select("rep", "g", "n", cls.alias("cls")), "classes")
 
     def mixed(classes: DataFrame) -> DataFrame:
-        entries = lists.select("token", "n", "g").join(classes.select("g", "n", "cls").distinct(), ["g", "n"])
+        """The lists' rows by class, of shingles that more than one class has."""
+        ends = classes.groupBy("g", "n", "cls").agg(F.min("rep").alias("rep"), F.count("*").alias("sets"))
+        entries = lists.select("token", "n", "g").join(ends, ["g", "n"])
         apart = entries.groupBy("token").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a < b").select("token")
         # written: Spark can split a frequent shingle's rows against a plain table
-        return entries.join(materialize(apart, "mixed-tokens"), "token", "left_semi")
+        return materialize(entries.join(materialize(apart, "mixed-tokens"), "token", "left_semi"), "mixed-shingles")
 
+    def to_hub(entries: DataFrame) -> DataFrame:
+        best = F.max(F.struct("clean", F.col("rep").alias("y"), F.col("cls").alias("ycls"), F.col("n").alias("ny"))).alias("hub")
+        hubs = materialize(entries.join(clean, ["g", "n"]).groupBy("token").agg(best).select("token", "hub.y", "hub.ycls", "hub.ny"), "hubs")
+        sized = 100 * F.least("n", "ny") >= threshold * F.greatest("n", "ny")
+        return entries.join(hubs, "token").filter((F.col("cls") != F.col("ycls")) & sized).select(F.col("rep").alias("x"), "y")
+
+    sized = (100 * F.least("n", "pn") >= threshold * F.greatest("n", "pn"))
+    classes = classed(None)
+    near_by = lists.filter(F.col("pg").isNotNull() & sized).select(F.col("g").alias("x"), F.col("pg").alias("y"))
+    links = verified(nearest(near_by.unionByName(to_hub(mixed(classes))), 3).unionByName(members.filter("rep <> g").select(F.col("rep").alias("x"), F.col("g").alias("y"))), "links-near")
     classes = classed(links)
-    ends = classes.groupBy("g", "n", "cls").agg(F.min("rep").alias("rep"))
-    between = chained(mixed(classes)).filter(F.col("pg").isNotNull() & sized)
-    pairs = (between.groupBy("g", "n", "cls", "pg", "pn", "pcls").agg(F.count("*").alias("times"))
-             .join(ends.withColumnRenamed("rep", "x"), ["g", "n", "cls"])
-             .join(ends.select(F.col("g").alias("pg"), F.col("n").alias("pn"), F.col("cls").alias("pcls"), F.col("rep").alias("y")), ["pg", "pn", "pcls"]))
-    links = links.unionByName(materialize(verified(pairs.select("x", "y")), "links-between"))
-    # all that is left: pairs of different classes with a common prefix shingle, and inside groups
+    links = links.unionByName(verified(nearest(to_hub(mixed(classes)), 3), "links-hub"))
+    # all that is left: pairs of different classes with enough common prefix shingles, and inside groups
     classes = classed(links)
-    lists2 = materialize(mixed(classes), "mixed-shingles")
-    right = lists2.select("token", *[F.col(c).alias(c + "2") for c in ("g", "n", "cls")])
-    fit = (F.col("cls") < F.col("cls2")) & (100 * F.least("n", "n2") >= threshold * F.greatest("n", "n2"))
-    entry_pairs = lists2.join(right, "token").filter(fit).select("g", "n", "cls", "g2", "n2", "cls2").distinct()
+    entries = (mixed(classes).join(members.select("rep", "n", "g", *bits), ["rep", "n", "g"])
+               .select("token", "n", "g", "cls", (F.col("sets") == 1).alias("one"), *bits))
+    right = entries.select("token", *[F.col(c).alias(c + "2") for c in entries.columns if c != "token"])
+    alone = F.col("one") & F.col("one2")  # the bitmap is that of the only member
+    fit = ((F.col("cls") < F.col("cls2")) & (100 * F.least("n", "n2") >= threshold * F.greatest("n", "n2")) & (~alone | _near("n", "n2", "b{}", "b{}2", threshold)))
+    # of c common prefix shingles follow at most c + the larger remainder in all
+    rest = F.greatest(F.ceil(F.lit(threshold) * F.col("n") / 100), F.ceil(F.lit(threshold) * F.col("n2") / 100)) - 1
+    least = F.ceil(F.lit(threshold) * (F.col("n") + F.col("n2")) / (100 + threshold)) - rest
+    entry_pairs = (entries.join(right, "token").filter(fit).groupBy("g", "n", "cls", "g2", "n2", "cls2").agg(F.count("*").alias("common"))
+                   .filter(F.col("common") >= least).drop("common"))
     inner = classes.select("g", "n", "cls").distinct()
     entry_pairs = entry_pairs.unionByName(
         inner.join(inner.select("g", "n", F.col("cls").alias("cls2")), ["g", "n"]).filter("cls < cls2")
         .select("g", "n", "cls", F.col("g").alias("g2"), F.col("n").alias("n2"), "cls2"))
     pairs = (entry_pairs.join(classes.withColumnRenamed("rep", "x"), ["g", "n", "cls"])
              .join(classes.select(F.col("rep").alias("y"), F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("cls").alias("cls2")), ["g2", "n2", "cls2"]))
-    links = links.unionByName(materialize(verified(pairs.select("x", "y")), "links-rest"))
+    links = links.unionByName(verified(pairs.select("x", "y"), "links-rest"))
     # equal sets of different documents, and the sets of one doc_id, hang together through the representative
     found = components(links).withColumnRenamed("id", "rep")
-    known = (sets.join(reps.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left").select("did", F.col("n").alias("n_shingles"), "rep")
+    known = (sets.join(members.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left").select("did", F.col("n").alias("n_shingles"), "rep")
              .join(found, "rep", "left"))
     return known.select(public_id("did").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
                         public_id(F.coalesce("component", "rep", "did")).alias("component_id"))
