@@ -67,7 +67,7 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     leaves = (jumps[-1].filter("anc IS NULL").join(parents, ["tree", "node"], "left_anti")
               .withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= branches))
     path = leaves.select("tree", "branch", "node", (F.col("depth") - 1).alias("step"))
-    for k, j in enumerate(jumps[:-1]):
+    for k, j in reversed(list(enumerate(jumps[:-1]))):  # far ancestors first: the rows only grow to the path's length at the end
         up = j.filter("anc IS NOT NULL").select(F.col("tree").alias("t"), F.col("node").alias("n"), "anc")
         both = F.array(F.struct("node", "step"), F.struct(F.col("anc").alias("node"), (F.col("step") - (1 << k)).alias("step")))
         path = (path.join(up, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")), "left")
