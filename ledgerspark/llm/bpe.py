@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import map_arrow, slices
-from ledgerspark.llm.token_files import Memo
+from ledgerspark.llm.token_files import Memo, packed
 
 END = "￿"  # stands for the end-of-word suffix inside the automaton; no token string holds it
 NEVER = 1 << 60
@@ -164,7 +164,7 @@ class Codec:
         self.words, self.pieces = Memo(), Memo()
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
-        return [np.array(self.merges.encode(w), "<u4").tobytes() for w in words]
+        return [packed(self.merges.encode(w)) for w in words]
 
     def _split(self, piece: str) -> list[str]:
         if piece.isascii() and piece.isprintable():
@@ -187,7 +187,7 @@ class Codec:
         cut = [[self.special[p] if special else p.replace("\n", " ").split(" ") for p, special in c] for c in cut]
         keys = set().union(*[p for c in cut for p in c if isinstance(p, list)])
         get = self.pieces.fill(keys, self._piece_ids).__getitem__
-        return [b"".join(np.array([p], "<u4").tobytes() if isinstance(p, int) else b"".join(map(get, p)) for p in c) for c in cut]
+        return [b"".join(packed([p]) if isinstance(p, int) else b"".join(map(get, p)) for p in c) for c in cut]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' strings, one space between them, in UTF-8 (what a tokenizer without a decoder gives)."""

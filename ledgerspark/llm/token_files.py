@@ -20,8 +20,10 @@ binary file source.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ from ledgerspark.llm.common import NULL_ID, map_arrow, materialize, public_id, s
 
 MAGIC = b"BPLN1\0\0\0"
 BLOCK = 65536
-MEMO = 400_000  # distinct pieces a worker keeps per generation of its memo
+MEMO = 700_000  # distinct pieces a worker keeps per generation of its memo
 
 
 # --- planes --------------------------------------------------------------------------------------
@@ -150,6 +152,14 @@ class Reader:
 
 # --- encoding ------------------------------------------------------------------------------------
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Memo:
     """Values by key in two generations: what is used survives, the rest goes, memory is bounded."""
 
@@ -182,7 +192,7 @@ class Encoder:
     hold a special token's string, and white space that such a cut could part, are treated without the shortcut.
     """
 
-    _INSIDE_RUN = re.compile(r"\s (?:\s|\Z)")
+    _INSIDE_RUN = re.compile(r" (?<=\s )(?:\s|\Z)")
     _CUT = re.compile(r"(?= \S)")
 
     def __init__(self, path: str):
@@ -196,7 +206,7 @@ class Encoder:
         self.memo = Memo()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, text: str) -> list[str]:
         if self._INSIDE_RUN.search(text) or text.startswith(" ") or "  " in text:
