@@ -59,9 +59,12 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     while (1 << len(jumps)) <= 2 * most and not jumps[-1].filter("anc IS NOT NULL").isEmpty():
         a, b = jumps[-1], jumps[-1].select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("anc").alias("up"),
                                            F.col("total").alias("more"), F.col("depth").alias("further"))
-        step = (a.join(b, (a["tree"] == b["t"]) & (a["anc"] == b["n"]), "left")
-                .select("tree", "node", F.col("up").alias("anc"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                        (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth")))
+        # paths that have reached their root are done and meet no join again
+        going = a.filter("anc IS NOT NULL")
+        step = (going.join(b, (going["tree"] == b["t"]) & (going["anc"] == b["n"]))
+                .select("tree", "node", F.col("up").alias("anc"), (F.col("total") + F.col("more")).alias("total"),
+                        (F.col("depth") + F.col("further")).alias("depth")))
+        step = step.unionByName(a.filter("anc IS NULL"))
         jumps.append(materialize(step, f"jump-{len(jumps)}"))
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), "node")
     leaves = (jumps[-1].filter("anc IS NULL").join(parents, ["tree", "node"], "left_anti")
