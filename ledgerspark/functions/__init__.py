@@ -6,7 +6,7 @@ from ledgerspark.functions.text import (  # noqa: F401
     normalise_error_text, python_strip, training_text,
 )
 from ledgerspark.functions.numeric import (  # noqa: F401
-    is_numeric_text, nonfinite_to_null, round_money, sum_money, text_to_double, to_int_code,
+    is_numeric_text, nonfinite_to_null, round_money, text_to_double, to_int_code,
 )
 from ledgerspark.functions.dates import (  # noqa: F401
     bin_start, closed_window, lookback, month_start, parse_timestamp,

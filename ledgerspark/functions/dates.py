@@ -50,9 +50,13 @@ def month_start(year, month) -> Column:
 
 
 def bin_start(c, freq: str) -> Column:
-    """Left-labelled period bin of a timestamp (h, D, MS, QS, YS)."""
-    unit = FREQUENCIES[freq][0]
-    return F.date_trunc(unit, _c(c)).cast("timestamp_ntz")
+    """Left-labelled period bin of a timestamp (h, D, MS, QS, YS), built from its fields: no time zone takes part, so bins do
+    not move in a daylight-saving gap."""
+    unit, t = FREQUENCIES[freq][0], _c(c).cast("timestamp_ntz")
+    month = {"year": F.lit(1), "quarter": (F.quarter(t) - 1) * 3 + 1}.get(unit, F.month(t))
+    day = F.dayofmonth(t) if unit in ("day", "hour") else F.lit(1)
+    hour = F.hour(t) if unit == "hour" else F.lit(0)
+    return F.make_timestamp_ntz(F.year(t), month, day, hour, F.lit(0), F.lit(0))
 
 
 def parse_timestamp(c, formats) -> Column:

@@ -15,7 +15,7 @@ MAX_DECIMAL_EXPONENT = 308
 INF_TEXT = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
 _EDGE_WS = "^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$"
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,10)"
 
 
 def _c(x) -> Column:
@@ -54,15 +54,10 @@ def to_int_code(c) -> Column:
 
 
 def round_money(c, scale: int = 2) -> Column:
-    """ROUND half away from zero on the decimal value, returned as DOUBLE."""
+    """ROUND half away from zero on the decimal value (ten digits after the point before rounding), returned as DOUBLE."""
     return F.round(_c(c).cast(MONEY), scale).cast("double")
 
 
-def sum_money(c) -> Column:
-    """Exact money sum (decimal), returned as DOUBLE so every engine agrees."""
-    return F.sum(_c(c).cast(MONEY)).cast("double")
-
-
 def nonfinite_to_null(c) -> Column:
     """NaN, +inf and -inf become NULL."""
     x = _c(c)

@@ -73,7 +73,7 @@ def sarima_111_111(y: np.ndarray, h: int, s: int = 12, iters: int = 50) -> np.nd
         A = J.T @ J
         g = J.T @ e
         step = np.linalg.solve(A + lam * np.diag(np.diag(A) + 1e-12), -g)
-        cand = np.clip(params + step, -0.999, 0.999)
+        cand = params + step  # neither stationarity nor invertibility is enforced
         c_cost = float(np.sum(_sarima_resid(cand, w, s) ** 2))
         if c_cost < cost:
             params, cost, lam = cand, c_cost, lam / 3

@@ -6,8 +6,12 @@ text runs through Catalyst; nothing is copied into another engine.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
+_VIEWS = threading.Lock()
+
 
 def run_sql(spark: SparkSession, sql: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
     """Run Spark SQL with each keyword frame visible under its name (Q0).
@@ -15,9 +19,17 @@ def run_sql(spark: SparkSession, sql: str, args: dict | None = None, **frames: D
     ``args`` binds named parameters (``:name``) instead of pasting text, the
     Spark form of the reference's positional ``%s`` tuple (S2).
     """
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args) if args else spark.sql(sql)
+    with _VIEWS:  # views live only while the text is analysed; what they shadowed comes back
+        shadowed = {n: spark.table(n) for n in frames if spark.catalog.tableExists(n) and spark.catalog.getTable(n).isTemporary}
+        try:
+            for name, df in frames.items():
+                df.createOrReplaceTempView(name)
+            return spark.sql(sql, args=args) if args else spark.sql(sql)
+        finally:
+            for name in frames:
+                spark.catalog.dropTempView(name)
+            for name, df in shadowed.items():
+                df.createOrReplaceTempView(name)
 
 
 def df_count(spark: SparkSession, sql: str, **frames: DataFrame) -> int:

@@ -43,7 +43,9 @@ def _flag(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
     flags and both outputs only read those columns (no repeated parsing)."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     others = [F.col(f"`{c}`") for c in df.columns if c != date]
-    step = df.select(*others, parse_timestamp(F.col(f"`{date}`"), cfg.date_formats).alias(date),
+    typed = isinstance(df.schema[date].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    when = F.col(f"`{date}`").cast("timestamp_ntz") if typed else parse_timestamp(F.col(f"`{date}`"), cfg.date_formats)
+    step = df.select(*others, when.alias(date),
                      text_to_double(F.col(f"`{val}`")).alias(_NUM))
     reasons: list[Column] = [
         F.when(F.col(f"`{dim}`").isNull(), F.lit(f"Missing {dim}; ")),
@@ -55,11 +57,6 @@ def _flag(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
     return step.withColumn(ERROR_FLAG, F.concat_ws("", *reasons))
 
 
-def flag_rows(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
-    """R4 core: the long table with ``Error_Flag``, the date parsed."""
-    return _flag(df, cfg).drop(_NUM)
-
-
 def _rows_where(df: DataFrame, cond: Column) -> DataFrame:
     """``df.filter(cond)``, evaluated after ``df``'s projection: each row is
     emitted through ``explode`` of a zero- or one-element array. A plain
@@ -77,7 +74,7 @@ def validate_split(df: DataFrame, cfg: SeriesConfig):
 
     ``clean`` has no flag column and the value converted to DOUBLE; ``errors``
     keeps the flag and the original value text. Both come from one flagged
-    projection that is evaluated once per row.
+    projection, evaluated once per row in each action.
     """
     flagged = _flag(df, cfg)
     val = cfg.value_col

@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 from ledgerspark.functions.codes import warehouse_name
 from ledgerspark.functions.dates import lookback
-from ledgerspark.functions.numeric import to_int_code
+from ledgerspark.functions.numeric import round_money, to_int_code
 from ledgerspark.functions.text import concat_lenient, concat_strict, date_text, normalise_error_text
 from ledgerspark.operators import recon
 
@@ -105,8 +106,8 @@ def failed_transfers(je: DataFrame, as_of, days: int = 90, status=11) -> DataFra
                     F.col("INVENTLOCATIONIDFROM").alias("AX_WarehouseID"),
                     F.col("INVENTLOCATIONIDTO").alias("AX_StoreID"),
                     F.col("ITEMID").alias("AX_ItemId"),
-                    F.round(F.col("ORDERMULTIPLE").cast("decimal(38,6)"), 2).cast("double").alias("OrderMultiple"),
-                    F.round(F.col("ORDERQTY").cast("decimal(38,6)"), 2).cast("double").alias("OrderQuantity"),
+                    round_money("ORDERMULTIPLE").alias("OrderMultiple"),
+                    round_money("ORDERQTY").alias("OrderQuantity"),
                     date_text("CREATEDDATETIME").alias("CreatedDateTime"),
                     normalise_error_text("ERRORMESSAGE").alias("ErrorMessage"))
             .distinct())

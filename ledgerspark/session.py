@@ -6,7 +6,9 @@ handed; ``get_spark`` is for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.conf.get("spark.checkpoint.dir", None):
             spark.conf.set("spark.checkpoint.dir", current)
         return current
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="ledgerspark-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path

@@ -63,6 +63,10 @@ class ParquetTarget:
             w = w.partitionBy(*self.partition_by)
         w.parquet(self.path(table))
 
+    def write_batch(self, df: DataFrame, table: str, batch_id: int) -> None:
+        """One streaming micro-batch in a folder of its own: writing it again replaces it."""
+        df.write.mode("overwrite").parquet(os.path.join(self.path(table), f"batch_id={batch_id}"))
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
 

@@ -58,7 +58,10 @@ def sql_literal(value) -> str:
         return "'" + value.strftime("%Y-%m-%d %H:%M:%S.%f")[:-3] + "'"
     if isinstance(value, dt.date):
         return "'" + value.isoformat() + "'"
-    return "'" + str(value).replace("'", "''") + "'"
+    text = str(value)
+    if "\\" in text or any(ord(ch) < 32 for ch in text):  # some dialects read escapes inside quotes
+        raise ValueError("a text parameter may hold no backslash or control character")
+    return "'" + text.replace("'", "''") + "'"
 
 
 def bind_parameters(sql: str, params) -> str:

@@ -4,15 +4,18 @@ loaded.
 Batch form (``load_csv_dir``): read the whole folder and replace the table.
 Incremental form (``ingest_new_csv``): Structured Streaming over the folder
 with ``trigger(availableNow=True)`` -- each run loads only files not seen
-before (tracked in the checkpoint), appends them through ``foreachBatch`` and
-moves processed files to the archive folder (``cleanSource=archive``). The
-checkpoint makes a rerun after an executor or driver loss resume where it
-stopped instead of loading twice.
+before (tracked in the checkpoint), writes them through ``foreachBatch`` and
+moves processed files to the archive folder (``cleanSource=archive``).
+``foreachBatch`` may run a batch again after a failure: a target with
+``write_batch`` keeps each batch under its id and replaces it then, so rows load
+exactly once (its table has a ``batch_id`` column); other targets (JDBC) append at
+least once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.sinks.tables import write_counted
 
@@ -23,21 +26,29 @@ def load_csv_dir(spark: SparkSession, src_dir: str, schema, target, table: str)
     return write_counted(df, target, table, append=False)
 
 
+def load_batch(batch: DataFrame, batch_id: int, target, table: str) -> int:
+    """Load one micro-batch; returns its rows."""
+    if not hasattr(target, "write_batch"):
+        return write_counted(batch, target, table, append=True)
+    obs = Observation(f"rows_{table}_{batch_id}")
+    target.write_batch(batch.observe(obs, F.count(F.lit(1)).alias("n")), table, batch_id)
+    return int(obs.get["n"])
+
+
 def ingest_new_csv(spark: SparkSession, src_dir: str, schema, target, table: str, archive_dir: str,
                    checkpoint_dir: str, max_files_per_trigger: int | None = None) -> list[dict]:
     """Incremental K6: append the new files' rows, archive the files, and
     return one log entry per micro-batch (batch id and rows loaded)."""
     log: list[dict] = []
 
-    def load_batch(batch: DataFrame, batch_id: int) -> None:
-        n = write_counted(batch, target, table, append=True)
-        log.append({"batch_id": batch_id, "rows": n})
+    def run(batch: DataFrame, batch_id: int) -> None:
+        log.append({"batch_id": batch_id, "rows": load_batch(batch, batch_id, target, table)})
 
     reader = (spark.readStream.schema(schema).option("header", True)
               .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    query = (reader.csv(src_dir).writeStream.foreachBatch(load_batch)
+    query = (reader.csv(src_dir).writeStream.foreachBatch(run)
              .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     query.awaitTermination()
     return log

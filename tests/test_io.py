@@ -107,3 +107,12 @@ def test_date_range_predicates_cover_window_once():
     assert uppers == lowers
     with pytest.raises(ValueError):
         jdbc.date_range_predicates("d", end, start, 2)
+
+
+def test_replayed_batch_loads_once(spark, tmp_dir):
+    target = tsink.ParquetTarget(os.path.join(tmp_dir, "stage"))
+    batch = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    for _ in range(2):  # foreachBatch may call again for the same id
+        assert csv_ingest.load_batch(batch, 0, target, "t") == 2
+    assert csv_ingest.load_batch(batch, 1, target, "t") == 2
+    assert target.read(spark, "t").count() == 4

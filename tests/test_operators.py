@@ -318,3 +318,35 @@ def test_upsert_without_matching_script_changes_nothing(spark):
     runs = spark.createDataFrame([("other", D(2024, 2, 1), D(2024, 2, 1, 1), dt.date(2024, 2, 1), "Completed",
                                    "incremental")], logs.schema)
     assert rows(control.upsert_run_log(logs, runs)) == rows(logs)
+
+
+def test_round_money_is_wide_and_rounds_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerspark.functions.numeric import round_money
+    row = spark.range(1).select(round_money(F.lit(1.23456), 4).alias("a"), round_money(F.lit(1e17)).alias("b"),
+                                round_money(F.lit(0.1249999999)).alias("c"), round_money(F.lit(0.125)).alias("d")).first()
+    assert tuple(row) == (1.2346, 1e17, 0.12, 0.13)
+
+
+def test_hour_bins_ignore_the_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerspark.functions.dates import bin_start
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = F.lit("2021-03-14 02:30:15").cast("timestamp_ntz")
+        got = spark.range(1).select(*[bin_start(t, f).cast("string").alias(f) for f in ("h", "D", "MS", "QS", "YS")]).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert list(got) == ["2021-03-14 02:00:00", "2021-03-14 00:00:00", "2021-03-01 00:00:00", "2021-01-01 00:00:00", "2021-01-01 00:00:00"]
+
+
+def test_run_sql_leaves_no_views(spark):
+    from ledgerspark.operators import sqlrun
+    spark.range(3).createOrReplaceTempView("shadowed_frame")
+    assert sqlrun.run_sql(spark, "SELECT count(*) AS n FROM shadowed_frame", shadowed_frame=spark.range(5)).first().n == 5
+    assert spark.table("shadowed_frame").count() == 3
+    sqlrun.run_sql(spark, "SELECT * FROM only_here", only_here=spark.range(1))
+    assert not spark.catalog.tableExists("only_here")
