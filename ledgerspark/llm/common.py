@@ -22,6 +22,7 @@ SLICE_BYTES = 2_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a null doc_id inside the operators: sorts before every other id.
 NULL_ID = -(2 ** 63)
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +36,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the
-    lineage at a table that outlives any executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage at a table that outlives any executor. The shuffle files of the write
+    are removed with its end, as nothing but the table is read from then on."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_table(df: DataFrame) -> None:
