@@ -1,41 +1,58 @@
-"""M2: additive Holt-Winters (trend + season 12) fitted natively in Spark.
+"""M2: additive Holt-Winters (trend + season 12).
 
-Each training series becomes one sorted value array (bounded by its number
-of periods). Every point of a fixed smoothing grid runs the recursions as
-one higher-order ``aggregate`` over that array, all inside one projection
-per series; the least-SSE point is kept. No Python worker is involved.
+Each training series becomes one row with its sorted values (bounded by its
+number of periods). The smoothing grid is searched in Arrow batches of such
+rows: one loop over the periods advances all grid points at once as NumPy
+vectors; the least-SSE point is kept. Preparation, assembly and scoring stay
+DataFrame operations.
 """
 
 from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.config import SeriesConfig
 from ledgerspark.operators.series import SPLIT
+from ledgerspark.session import ship_package
 
 MODEL = "Holt-Winters"
 SEASON = 12
 # Fixed search grid for (alpha, beta, gamma).
 GRID_VALUES = (0.1, 0.3, 0.5, 0.7, 0.9)
 MIN_TRAIN = 2 * SEASON
-
-
-def _grid_column(values=GRID_VALUES):
-    return F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"))
-                     for a, b, c in itertools.product(values, repeat=3)])
+STATE = ("level", "trend", "season", "sse", "alpha", "beta", "gamma")
+
+
+def search(y: np.ndarray, grid: np.ndarray):
+    """(level, trend, season, sse, alpha, beta, gamma) of the first least-SSE row of ``grid`` (alpha, beta, gamma)."""
+    a, b, c = grid.T
+    level = np.full(len(grid), sum(y[:SEASON].tolist()) / SEASON)
+    trend, sse = np.zeros(len(grid)), np.zeros(len(grid))
+    season = y[:SEASON, None] - level  # row i % SEASON is replaced in place
+    rest = y[SEASON:]
+    for i, x in enumerate(rest.tolist()):
+        s0, ahead = season[i % SEASON], level + trend
+        now = a * (x - s0) + (1 - a) * ahead
+        err = x - (ahead + s0)
+        trend = b * (now - level) + (1 - b) * trend
+        season[i % SEASON] = c * (x - now) + (1 - c) * s0
+        level, sse = now, sse + err * err
+    k = int(np.argmin(np.where(np.isnan(sse), np.inf, sse)))
+    order = (len(rest) + np.arange(SEASON)) % SEASON
+    return level[k], trend[k], season[order, k], sse[k], *grid[k]
 
 
 def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> DataFrame:
     """Best final state per series: dim, last_date, n_train, level, trend, season, sse, alpha, beta, gamma.
 
-    One row per series throughout: the grid is evaluated with ``transform``
-    over the grid array (each point one ``aggregate`` over the values), the
-    winner is the first minimum SSE (grid in ascending (a, b, c) order, so
-    ties go to the smallest triple), and only the winner's run is kept. No
-    explode, no second aggregation, no sort."""
+    One row per series throughout; the winner is the first minimum SSE (grid
+    in ascending (a, b, c) order, so ties go to the smallest triple)."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     n_parts = int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the grid search is compute-heavy per row: an explicit range repartition keeps
@@ -46,34 +63,17 @@ def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> Data
                     lambda s: s["v"]).alias("y"),
         F.max(date).alias("last_date"))
     ok = arr.withColumn("n_train", F.size("y")).filter(F.col("n_train") >= MIN_TRAIN)
-    first = F.slice("y", 1, SEASON)
-    l0 = F.aggregate(first, F.lit(0.0), lambda s, x: s + x) / SEASON
-    init = F.struct(l0.alias("l"), F.lit(0.0).alias("t"),
-                    F.transform(first, lambda x: x - l0).alias("s"), F.lit(0.0).alias("sse"))
-    rest = F.slice("y", SEASON + 1, F.size("y") - SEASON)
-    grid_col = _grid_column(grid)
-
-    def run(g):
-        a, b, c = g["a"], g["b"], g["c"]
+    points = np.array(list(itertools.product(grid, repeat=3)), float)
 
-        def step(acc, x):
-            s0 = F.element_at(acc["s"], 1)
-            lvl = a * (x - s0) + (1 - a) * (acc["l"] + acc["t"])
-            err = x - (acc["l"] + acc["t"] + s0)
-            return F.struct(lvl.alias("l"), (b * (lvl - acc["l"]) + (1 - b) * acc["t"]).alias("t"),
-                            F.concat(F.slice(acc["s"], 2, SEASON - 1),
-                                     F.array(c * (x - lvl) + (1 - c) * s0)).alias("s"),
-                            (acc["sse"] + err * err).alias("sse"))
-        return F.aggregate(rest, init, step)
+    def fit(batches):
+        for pdf in batches:
+            found = [search(np.asarray(y, float), points) for y in pdf["y"]]
+            yield pd.concat([pdf.drop(columns="y"), pd.DataFrame(found, columns=list(STATE), index=pdf.index)], axis=1)
 
-    scored = ok.select(dim, "last_date", "n_train", "y",
-                       F.transform(grid_col, lambda g: run(g)["sse"]).alias("_sse"))
-    best = scored.select(dim, "last_date", "n_train", "y",
-                         F.element_at(grid_col, F.array_position("_sse", F.array_min("_sse")).cast("int")).alias("g"))
-    st = best.select(dim, "last_date", "n_train", "g", run(F.col("g")).alias("st"))
-    return st.select(dim, "last_date", "n_train", F.col("st.l").alias("level"), F.col("st.t").alias("trend"),
-                     F.col("st.s").alias("season"), F.col("st.sse").alias("sse"), F.col("g.a").alias("alpha"),
-                     F.col("g.b").alias("beta"), F.col("g.c").alias("gamma"))
+    rows = ok.select(dim, "last_date", "n_train", "y")
+    state = [T.StructField(n, T.ArrayType(T.DoubleType()) if n == "season" else T.DoubleType()) for n in STATE]
+    ship_package(prepared.sparkSession)
+    return rows.mapInPandas(fit, T.StructType([f for f in rows.schema if f.name != "y"] + state))
 
 
 def forecast(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> DataFrame:

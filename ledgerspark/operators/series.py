@@ -32,44 +32,32 @@ def period_sums(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
             .groupBy(dim, date).agg(F.sum(_q(val)).alias(val)))
 
 
-def series_axis(sums: DataFrame, cfg: SeriesConfig, min_history: int | None = None) -> DataFrame:
-    """Every bin between each series' own first and last bin, with its position
-    (``period_idx`` from 0) and the series length. ``min_history`` drops short
-    series here (T2), before any row is generated for them."""
-    dim, date = cfg.dimension_col, cfg.date_col
-    bounds = sums.groupBy(dim).agg(F.min(_q(date)).alias("_lo"), F.max(_q(date)).alias("_hi"))
-    seq = F.sequence(F.col("_lo"), F.col("_hi"), F.expr(cfg.step))
-    axis = bounds.select(_q(dim).alias(dim), seq.alias("_seq"))
-    axis = axis.withColumn(N_PERIODS, F.size("_seq"))
-    if min_history:
-        axis = axis.filter(F.col(N_PERIODS) >= min_history)
-    return axis.select(_q(dim).alias(dim), F.col(N_PERIODS), F.posexplode("_seq").alias(IDX, date))
-
-
 def resample(df: DataFrame, cfg: SeriesConfig, min_history: int | None = None) -> DataFrame:
     """T1 (+T2 when ``min_history``): per series, sum by ``freq`` bin; every
     empty bin between the series' first and last bin is 0.
 
-    Two shuffles: the partial sum per (series, bin), then one per-series
-    aggregation into a bin -> sum map (at most one entry per period, so a
-    series with a third of the raw rows is still small here). The full axis
-    is generated from the map's first and last bin and filled by lookups --
-    no join. Short series are dropped before any row is generated (T2).
+    Two shuffles: the partial sum per (series, bin), then one by series for
+    the windows. Each bin is followed by the run of empty bins up to the
+    series' next one, so the fill is linear in the periods and needs no join
+    and no lookup. Short series are dropped before any row is generated (T2).
 
     Output: dimension, date, value, ``period_idx``, ``n_periods``.
     """
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     sums = period_sums(df, cfg)
-    vtype = sums.schema[val].dataType
-    per = sums.groupBy(dim).agg(F.map_from_entries(F.collect_list(F.struct(_q(date), _q(val)))).alias("_m"),
-                                F.min(_q(date)).alias("_lo"), F.max(_q(date)).alias("_hi"))
-    seq = F.sequence(F.col("_lo"), F.col("_hi"), F.expr(cfg.step))
-    axis = per.select(_q(dim).alias(dim), "_m", seq.alias("_seq")).withColumn(N_PERIODS, F.size("_seq"))
+    zero = F.lit(0).cast(sums.schema[val].dataType)
+    of_series = Window.partitionBy(_q(dim))
+    by_date = of_series.orderBy(_q(date))
+    last = F.coalesce(F.lead(_q(date)).over(by_date) - F.expr(cfg.step), _q(date))
+    runs = sums.withColumn("_run", F.sequence(_q(date), last, F.expr(cfg.step))).withColumn("_size", F.size("_run"))
+    runs = (runs.withColumn("_first", F.coalesce(F.sum("_size").over(by_date.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .withColumn(N_PERIODS, F.sum("_size").over(of_series).cast("int")))
     if min_history:
-        axis = axis.filter(F.col(N_PERIODS) >= min_history)
-    rows = axis.select(_q(dim).alias(dim), "_m", F.col(N_PERIODS), F.posexplode("_seq").alias(IDX, date))
-    value = F.coalesce(F.try_element_at(F.col("_m"), _q(date)), F.lit(0).cast(vtype))
-    return rows.select(_q(dim), _q(date), value.alias(val), F.col(IDX), F.col(N_PERIODS))
+        runs = runs.filter(F.col(N_PERIODS) >= min_history)
+    rows = runs.select(_q(dim), _q(val), "_first", F.col(N_PERIODS), F.posexplode("_run").alias("_pos", date))
+    value = F.when(F.col("_pos") == 0, F.coalesce(_q(val), zero)).otherwise(zero)
+    return rows.select(_q(dim), _q(date), value.alias(val), (F.col("_first") + F.col("_pos")).cast("int").alias(IDX),
+                       F.col(N_PERIODS))
 
 
 def split_holdout(resampled: DataFrame, cfg: SeriesConfig) -> DataFrame:
@@ -139,7 +127,7 @@ def recursive_forecast(history: Column, coefs: Column, intercept: Column, horizo
     ``history`` is the last p values (oldest first), ``coefs`` the p
     coefficients in the same order. Each prediction is pushed into the window
     before the next step. Returns ARRAY<DOUBLE> of length ``horizon``; runs as
-    one higher-order ``aggregate``, so it stays in generated code.
+    one higher-order ``aggregate`` in the JVM (interpreted, no Python).
     """
     init = F.struct(history.cast("array<double>").alias("w"), F.array().cast("array<double>").alias("out"))
 

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ledgerspark.functions.text import (
     DEFAULT_EOS, blank_message_reply, extract_response, inference_prompt, training_text,
 )
+from ledgerspark.session import ensure_checkpoint_dir
 
 MAX_LENGTH = 128  # fixed value: the reference truncates to 128 tokens
+HEAD_TOKENS = 1 << 16  # rows of the vocabulary that are broadcast
 SPLIT_PATTERN = "[ \\t\\n\\r\\f\\x0B]+"
 
 
@@ -41,9 +43,12 @@ def training_texts(pairs: DataFrame, eos: str = DEFAULT_EOS):
     return accepted, rejected
 
 
-def words(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """(id, pos, token) for every whitespace-separated token of every text."""
+def words(texts: DataFrame, id_col: str, text_col: str = "text", first: int | None = None) -> DataFrame:
+    """(id, pos, token) for every whitespace-separated token of every text, or
+    for the ``first`` tokens of each (cut before any row is generated)."""
     toks = F.filter(F.split(F.col(text_col), SPLIT_PATTERN), lambda t: t != "")
+    if first is not None:
+        toks = F.slice(toks, 1, first)
     return texts.select(F.col(id_col), F.posexplode(toks).alias("pos", "token"))
 
 
@@ -54,8 +59,10 @@ def build_vocabulary(texts: DataFrame, id_col: str, text_col: str = "text") -> D
     vocabulary is range-partitioned and sorted by (count desc, token), each
     row's (partition, position) comes from ``monotonically_increasing_id``,
     and a running sum over the per-partition sizes (one row per partition,
-    so a proven size bound: broadcast) turns them into global ranks. No
-    single-task window over the vocabulary, no Python per row."""
+    so a proven size bound: broadcast) turns them into global ranks. The
+    placed rows are checkpointed: range bounds come from a sample, so sizes
+    and rows must be read from one evaluation. No single-task window over
+    the vocabulary, no Python per row."""
     spark = texts.sparkSession
     counts = words(texts, id_col, text_col).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     order = [F.col("n").desc(), F.col("token").asc()]
@@ -64,6 +71,8 @@ def build_vocabulary(texts: DataFrame, id_col: str, text_col: str = "text") -> D
     mid = F.monotonically_increasing_id()
     tagged = ordered.select("token", "n", F.shiftright(mid, 33).alias("_pid"),
                             mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
+    ensure_checkpoint_dir(spark)
+    tagged = tagged.checkpoint(eager=True)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
@@ -79,14 +88,22 @@ def tokenize(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "t
 
     Only the first ``max_length`` positions are joined to the vocabulary
     (truncation is the operator's own rule), so no group holds more than
-    ``max_length`` tokens."""
-    toks = words(texts, id_col, text_col).filter(F.col("pos") < max_length)
-    ided = toks.join(vocab.select("token", "token_id"), "token", "inner")
+    ``max_length`` tokens. The ``HEAD_TOKENS`` lowest ids, the most frequent
+    tokens, are joined by broadcast, so no frequent token gathers its
+    occurrences in one task; all others meet in a shuffled join."""
+    toks = words(texts, id_col, text_col, max_length)
+    entries = vocab.select("token", "token_id")
+    head = F.broadcast(entries.filter(F.col("token_id") < HEAD_TOKENS))
+    rest = toks.join(head, "token", "left_anti")
+    ided = toks.join(head, "token", "inner").unionByName(
+        rest.join(entries.filter(F.col("token_id") >= HEAD_TOKENS), "token", "inner"))
     per_text = ided.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_p"))
     ids = texts.select(id_col).join(per_text, id_col, "left").select(
         id_col, F.coalesce(F.transform("_p", lambda s: s["token_id"]), F.array().cast("array<bigint>"))
         .alias("_ids"))
+    ensure_checkpoint_dir(texts.sparkSession)
+    ids = ids.checkpoint(eager=True)  # read twice: for the longest row and for the output
     # Dataset-wide scalars as uncorrelated scalar subqueries (evaluated once).
     longest = ids.select(F.max(F.size("_ids"))).scalar()
     # pad token = eos; with no vocabulary entry of its own it takes the id after the last token

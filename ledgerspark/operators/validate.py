@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerspark.config import SeriesConfig
 from ledgerspark.functions.dates import parse_timestamp
 from ledgerspark.functions.numeric import nonfinite_to_null, text_to_double
+from ledgerspark.session import ensure_checkpoint_dir
 
 METRIC_COLUMNS = ("RMSE", "MAE", "MAPE (%)")
 ERROR_FLAG = "Error_Flag"
@@ -69,18 +70,23 @@ def _rows_where(df: DataFrame, cond: Column) -> DataFrame:
     return df.select(F.explode(F.when(cond, F.array(row)).otherwise(none)).alias("_r")).select("_r.*")
 
 
-def validate_split(df: DataFrame, cfg: SeriesConfig):
+def validate_split(df: DataFrame, cfg: SeriesConfig, materialize: bool = False):
     """``(clean, errors, members)``.
 
     ``clean`` has no flag column and the value converted to DOUBLE; ``errors``
     keeps the flag and the original value text. Both come from one flagged
-    projection, evaluated once per row in each action.
+    projection, evaluated once per row in each action; ``materialize`` writes
+    it to the shared checkpoint folder, so several actions read one parse.
     """
     flagged = _flag(df, cfg)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        flagged = flagged.checkpoint(eager=True)
+    where = DataFrame.filter if materialize else _rows_where
     val = cfg.value_col
-    clean = (_rows_where(flagged, F.col(ERROR_FLAG) == "")
+    clean = (where(flagged, F.col(ERROR_FLAG) == "")
              .withColumn(val, F.col(_NUM)).drop(ERROR_FLAG, _NUM))
-    errors = _rows_where(flagged, F.col(ERROR_FLAG) != "").drop(_NUM)
+    errors = where(flagged, F.col(ERROR_FLAG) != "").drop(_NUM)
     members = clean.select(cfg.dimension_col).distinct()
     return clean, errors, members
 

@@ -95,10 +95,9 @@ def p6_c1_closed_window(spark, sf):
 # ---- C2-C5: run logs derived from events -------------------------------------------------------
 
 def run_logs(spark, sf):
-    """Run-log rows standing in for the logs table: one run per 'error' /
-    'click' / 'view' event, script = event_type, duration from the value.
-    Event types 'purchase' and others have no log row."""
-    ev = table(spark, sf, "events").filter(F.col("event_type").isin("click", "view", "error"))
+    """Run-log rows standing in for the logs table: one run per event, script
+    = event_type, duration from the value."""
+    ev = table(spark, sf, "events")
     end = F.col("ts") + F.make_interval(mins=F.floor("value").cast("int"))
     return ev.select(F.concat(F.lit("script_"), F.col("event_type")).alias("script_name"),
                      F.col("ts").alias("start_datetime"), end.alias("end_datetime"),
@@ -111,13 +110,15 @@ logs AS (SELECT 'script_' || event_type AS script_name, ts AS start_datetime,
                 ts + to_minutes(CAST(floor(value) AS INTEGER)) AS end_datetime,
                 CAST(ts + to_minutes(CAST(floor(value) AS INTEGER)) AS DATE) AS rundate, 'Completed' AS status,
                 CASE WHEN event_id % 2 = 0 THEN 'full' ELSE 'incremental' END AS load_type
-         FROM events WHERE event_type IN ('click', 'view', 'error')),
-scripts AS (SELECT DISTINCT 'script_' || event_type AS script_name FROM events)
+         FROM events),
+scripts AS (SELECT 'script_' || event_type AS script_name FROM events UNION SELECT 'script_' || r_name FROM region)
 """
 
 
 def scripts_frame(spark, sf):
-    return table(spark, sf, "events").select(F.concat(F.lit("script_"), F.col("event_type")).alias("script_name"))
+    """Every event type, and every region name as a script that has not run yet."""
+    names = table(spark, sf, "events").select("event_type").unionByName(table(spark, sf, "region").select(F.col("r_name").alias("event_type")))
+    return names.select(F.concat(F.lit("script_"), F.col("event_type")).alias("script_name"))
 
 
 @register("c2_load_windows", ("C2",), oracle=f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -18,9 +19,12 @@ from ledgerspark.session import scratch_table_path, table
 from ledgerspark.sinks.tables import ParquetTarget
 
 
-def _forecast(spark, sf, model):
-    prep = series.prepare(brand_input(spark, sf), CFG_BRAND)
-    out = runner.run_models(prep, CFG_BRAND, [model])
+CFG_BRAND_FUTURE = replace(CFG_BRAND, test_mode=False)
+
+
+def _forecast(spark, sf, model, cfg=CFG_BRAND):
+    prep = series.prepare(brand_input(spark, sf), cfg)
+    out = runner.run_models(prep, cfg, [model])
     return out.filter(F.col("error").isNull()).select(
         "p_brand", "l_shipdate", F.round("l_quantity", 4).alias("l_quantity"), "Model")
 
@@ -66,6 +70,32 @@ def m2_holt_winters(spark, sf):
     return _forecast(spark, sf, "Holt-Winters")
 
 
+_HELD_OUT = "WHERE n >= 24 AND rn > 12"
+
+
+@register("m2_holt_winters_future_brand", ("M2", "T6"), oracle=_HW_SQL.replace(_HELD_OUT, "WHERE n >= 24"))
+def m2_holt_winters_future(spark, sf):
+    """All periods train; the next ``forecast_periods`` are forecast."""
+    return _forecast(spark, sf, "Holt-Winters", CFG_BRAND_FUTURE)
+
+
+def _result_sql(part):
+    return f"""
+WITH {_BRAND_SUMS}
+SELECT d AS l_shipdate, v AS l_quantity, p_brand, 'Holt-Winters' AS Model FROM f WHERE n >= 36 AND {part}
+"""
+
+
+@register("t11_train_rows_brand", ("T11",), oracle=_result_sql("rn > 12"))
+def t11_train_rows_brand(spark, sf):
+    return runner.backtest(brand_input(spark, sf), CFG_BRAND, ["Holt-Winters"])["train"]
+
+
+@register("t11_test_rows_brand", ("T11",), oracle=_result_sql("rn <= 12"))
+def t11_test_rows_brand(spark, sf):
+    return runner.backtest(brand_input(spark, sf), CFG_BRAND, ["Holt-Winters"])["test"]
+
+
 _HW_SCORES_SQL = _HW_SQL.replace("""SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS l_shipdate,
        round(l + k * t + s[((k - 1) % 12) + 1], 4) AS l_quantity, 'Holt-Winters' AS Model
 FROM best, range(1, 13) h(k)""", """, fc AS (SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS d, l + k * t + s[((k - 1) % 12) + 1] AS p
@@ -101,7 +131,7 @@ _ARIMA_AUG = "[" + ", ".join("[" + ", ".join(f"s{min(i, j)}{max(i, j)}" for j in
                              for i in range(1, 6)) + "]"
 
 
-@register("m4_arima_forecast_brand", ("M4", "T7", "T12"), oracle=f"""
+_ARIMA_SQL = f"""
 WITH RECURSIVE {_BRAND_SUMS},
 tr AS (SELECT p_brand, d, v FROM f WHERE n >= 24 AND rn > 12),
 zz AS (SELECT p_brand, d, v, v - lag(v, 1) OVER (PARTITION BY p_brand ORDER BY d) AS z0 FROM tr),
@@ -138,7 +168,15 @@ fc AS (SELECT a.p_brand, 0 AS k, [a.lst.z4, a.lst.z3, a.lst.z2, a.lst.z1, a.lst.
 SELECT p_brand, last_date + to_months(CAST(k AS INTEGER)) AS l_shipdate, round(lvl, 4) AS l_quantity,
        'ARIMA' AS Model
 FROM fc WHERE k >= 1
-""")
+"""
+
+
+@register("m4_arima_future_brand", ("M4", "T7"), oracle=_ARIMA_SQL.replace(_HELD_OUT, "WHERE n >= 24"))
+def m4_arima_future(spark, sf):
+    return _forecast(spark, sf, "ARIMA", CFG_BRAND_FUTURE)
+
+
+@register("m4_arima_forecast_brand", ("M4", "T7", "T12"), oracle=_ARIMA_SQL)
 def m4_arima(spark, sf):
     return _forecast(spark, sf, "ARIMA")
 
@@ -197,18 +235,23 @@ def d11_monthly_sales_forecast(spark, sf):
     return out.select("Date", F.round("Sales", 4).alias("Sales"), "Material", "Model")
 
 
-@register("d12_daily_forecast", ("D12", "M1"))
+def _loaded(spark, raw, cfg, script):
+    """Validate, forecast with Prophet and load all result tables (K1); the loaded forecast."""
+    target = ParquetTarget(scratch_table_path(spark, f"{script}/{uuid.uuid4().hex[:12]}"))
+    runner.forecast_and_load(raw, cfg, script, target, ["Prophet"])
+    return target.read(spark, f"{script}_forecast")
+
+
+@register("d12_daily_forecast", ("D12", "M1", "R4", "K1"))
 def d12_daily_forecast(spark, sf):
     """Daily amounts per product (events stand in for the cosmetics sheet), Prophet."""
     ev = table(spark, sf, "events").select(
         F.col("event_type").alias("Product"), datetime_text("ts").alias("Date"),
         F.col("value").cast("string").alias("Amount ($)"))
-    clean, _e, _m = validate.validate_split(ev, CFG_DAILY)
-    res = runner.backtest(clean, CFG_DAILY, ["Prophet"])
-    return res["forecast"].select("Date", F.round("Amount ($)", 4).alias("Amount ($)"), "Product", "Model")
+    return _loaded(spark, ev, CFG_DAILY, "daily").select("Date", F.round("Amount ($)", 4).alias("Amount ($)"), "Product", "Model")
 
 
-@register("d13_retail_forecast", ("D13", "R2", "M1"))
+@register("d13_retail_forecast", ("D13", "R2", "M1", "R4", "K1"))
 def d13_retail_forecast(spark, sf):
     """Monthly retail sales per item from YEAR and MONTH columns, resampled by
     day as the reference does (days between month starts become 0), Prophet."""
@@ -218,6 +261,5 @@ def d13_retail_forecast(spark, sf):
         F.col("p_brand").alias("ITEM CODE"), F.col("l_extendedprice").alias("RETAIL SALES"))
     raw = raw.withColumn("Date", date_text(month_start("YEAR", "MONTH"))) \
         .withColumn("RETAIL SALES", F.col("RETAIL SALES").cast("string"))
-    clean, _e, _m = validate.validate_split(raw.select("Date", "ITEM CODE", "RETAIL SALES"), CFG_RETAIL)
-    res = runner.backtest(clean, CFG_RETAIL, ["Prophet"])
-    return res["forecast"].select("Date", F.round("RETAIL SALES", 4).alias("RETAIL SALES"), "ITEM CODE", "Model")
+    raw = raw.select("Date", "ITEM CODE", "RETAIL SALES")
+    return _loaded(spark, raw, CFG_RETAIL, "retail").select("Date", F.round("RETAIL SALES", 4).alias("RETAIL SALES"), "ITEM CODE", "Model")

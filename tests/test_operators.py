@@ -350,3 +350,39 @@ def test_run_sql_leaves_no_views(spark):
     assert spark.table("shadowed_frame").count() == 3
     sqlrun.run_sql(spark, "SELECT * FROM only_here", only_here=spark.range(1))
     assert not spark.catalog.tableExists("only_here")
+
+
+def test_vocabulary_ids_do_not_depend_on_exchange_reuse(spark):
+    """Ids are 0..V-1 also when Spark evaluates the range partitioning more than once."""
+    from ledgerspark.operators import textprep
+    texts = spark.range(3000).selectExpr("id", "concat_ws(' ', transform(sequence(0, 9), i -> concat('t', pmod(hash(id, i), 20000)))) AS text")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        ids = [r.token_id for r in textprep.build_vocabulary(texts, "id").collect()]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert sorted(ids) == list(range(len(ids)))
+
+
+def test_tokenize_head_and_rest_of_the_vocabulary_agree(spark, monkeypatch):
+    """Tokens of the broadcast head and of the shuffled rest get the same ids as in one join."""
+    from ledgerspark.operators import textprep
+    texts = spark.createDataFrame([(1, "a a a b c"), (2, "b a d"), (3, ""), (4, None)], "id int, text string")
+    rows = lambda: sorted(map(str, textprep.tokenize(texts, textprep.build_vocabulary(texts, "id"), "id").collect()))
+    whole = rows()
+    monkeypatch.setattr(textprep, "HEAD_TOKENS", 2)
+    assert rows() == whole
+
+
+def test_gap_fill_is_linear_runs_of_zeros(spark):
+    """Gaps of any length are filled with 0; positions and length count every bin; a null sum is 0."""
+    import datetime as dt
+
+    from ledgerspark.config import SeriesConfig
+    from ledgerspark.operators import series
+    d = lambda m: dt.datetime(2020, m, 15)
+    df = spark.createDataFrame([("x", d(1), 1.0), ("x", d(4), 2.0), ("x", d(4), 3.0), ("y", d(2), None), ("x", None, 9.0)],
+                               "`a b` string, t timestamp_ntz, v double")
+    out = series.resample(df, SeriesConfig("a b", "t", "v", "MS", min_history=1, test_mode=False)).collect()
+    assert sorted((r["a b"], r.t.month, r.v, r.period_idx, r.n_periods) for r in out) == [
+        ("x", 1, 1.0, 0, 4), ("x", 2, 0.0, 1, 4), ("x", 3, 0.0, 2, 4), ("x", 4, 5.0, 3, 4), ("y", 2, 0.0, 0, 1)]

@@ -55,3 +55,10 @@ def test_hot_series_is_pre_aggregated_before_shuffle(spark):
     assert "partial_sum" in plan[first_exchange:], "no map-side partial sum below the first shuffle"
     totals = dict(out.groupBy("k").agg(F.sum("v")).collect())
     assert totals["hot"] == n // 3 and sum(totals.values()) == n
+
+
+@pytest.mark.parametrize("name,maps", [("m2_backtest_scores_brand", 1), ("m7_backtest_forecast_error_brand", 4)])
+def test_each_model_group_is_fitted_once(spark, name, maps):
+    """One Python stage per model group (Holt-Winters, series models, two window models): scoring refits nothing."""
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FlatMapGroupsIn(?:Pandas|Arrow)|MapInPandas", plan)) == maps
