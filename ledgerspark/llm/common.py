@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 
 from ledgerspark.session import scratch_table_path, ship_package, table
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a null doc_id inside the operators: sorts before every other id.
 NULL_ID = -(2 ** 63)
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of text a Python worker and its executor hold at once.
+MOST_ROWS = 2000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,17 +40,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the
     lineage at a table that outlives any executor. The shuffle files of the write
-    are removed with its end, as nothing but the table is read from then on."""
+    are removed with its end, as nothing but the table is read from then on. Arrow
+    batches of the write are kept small, as rows can be long."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    before = {k: spark.conf.get(k, None) for k in (SHUFFLE_CLEANUP, ARROW_ROWS)}
+    rows = int(before[ARROW_ROWS] or 0)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
+    spark.conf.set(ARROW_ROWS, str(min(rows, MOST_ROWS) if rows > 0 else MOST_ROWS))
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
