@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import (Rolling, drop_table, longs, map_arrow, materialize, scramble, slices, union_length)
 
+POSITION_BITS = 24  # of a gram's 64 bits in the search for anchors; the others order the grams
 ROW = "did long, rid long, key long, cid long, start int, size int, off int"
 
 
@@ -47,15 +48,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def anchors(values: np.ndarray, first: np.ndarray, window: int, k: int):
-    """(text, lo, n, anchor) of every context: windows lo .. lo + n - 1, positions in ``values``."""
-    m = window - k + 1
-    rolling = Rolling(values)
-    grams = rolling.all(k)
-    empty = np.empty(0, np.int64)
-    if len(grams) < m:
-        return rolling, empty, empty, empty, empty
-    low = np.uint64((1 << 24) - 1)
+def _window_anchors(grams: np.ndarray, m: int, bits: int) -> np.ndarray:
+    """Position of the least of each m consecutive grams (leftmost on ties), for the grams of at most ``1 << bits`` positions:
+    a position takes the low bits of the scrambled hash, so that one minimum finds both."""
+    low = np.uint64((1 << bits) - 1)
     v = (grams * np.uint64(0x9E3779B97F4A7C15)) & ~low | np.arange(len(grams), dtype=np.uint64)
     width = 1
     while width * 2 <= m:
@@ -63,7 +59,24 @@ def anchors(values: np.ndarray, first: np.ndarray, window: int, k: int):
         width *= 2
     if width < m:
         v = np.minimum(v[:len(v) - (m - width)], v[m - width:])
-    anchor = (v & low).astype(np.int64)
+    return (v & low).astype(np.int64)
+
+
+def anchors(values: np.ndarray, first: np.ndarray, window: int, k: int, bits: int = POSITION_BITS):
+    """(text, lo, n, anchor) of every context: windows lo .. lo + n - 1, positions in ``values``.
+
+    A text can have any number of units: grams are taken in overlapping pieces of ``1 << bits``, each window in one piece.
+    More than ``window - k`` positions have to fit."""
+    m = window - k + 1
+    rolling = Rolling(values)
+    grams = rolling.all(k)
+    empty = np.empty(0, np.int64)
+    if len(grams) < m:
+        return rolling, empty, empty, empty, empty
+    step = (1 << bits) - m + 1  # windows of a piece
+    if step < 1:
+        raise ValueError(f"{m} grams of a window do not fit {bits} bits")
+    anchor = np.concatenate([at + _window_anchors(grams[at:at + (1 << bits)], m, bits) for at in range(0, len(grams) - m + 1, step)])
     size = np.diff(first)
     ok = np.zeros(len(values) + 1, np.int8)
     has = size >= window  # windows of a text: first .. first + size - window
