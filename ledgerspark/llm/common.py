@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerspark.session import scratch_table_path, ship_package, table
 
@@ -67,7 +68,7 @@ def drop_table(df: DataFrame) -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
 

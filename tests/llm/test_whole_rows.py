@@ -30,3 +30,14 @@ def test_anchors_do_not_depend_on_the_position_in_a_long_text():
     assert all(own[p + 600] == own[p] + 600 for p in range(100, 281))
     whole = repeats.anchors(values, first, window, k)
     assert all((a == b).all() for a, b in zip((text, lo, n, anchor), whole[1:]))
+
+
+def test_a_toxic_row_takes_no_clean_row_along(spark):
+    rng = np.random.default_rng(0)
+    bad = " ".join(["badword", "badwordy", "badwords"])
+    train = [(i, " ".join([f"c{x}" for x in rng.integers(0, 400, 40)] + ([bad] if i % 4 == 0 else [])), "en", "a") for i in range(300)]
+    docs = spark.createDataFrame(train, DOCS)
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    clean = " ".join(f"c{x}" for x in range(40))
+    rows = [(None, f"{clean} {bad}", "en", "a"), (None, clean, "en", "a"), (None, None, None, None), (5, f"{clean} {bad}", "en", "a"), (5, clean, "en", "b"), (6, clean, None, "b")]
+    assert rows_of(toxicity.drop_toxic(spark.createDataFrame(rows, DOCS), model)) == Counter(r for r in rows if bad not in (r[1] or ""))
