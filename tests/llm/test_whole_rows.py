@@ -41,3 +41,23 @@ def test_a_toxic_row_takes_no_clean_row_along(spark):
     clean = " ".join(f"c{x}" for x in range(40))
     rows = [(None, f"{clean} {bad}", "en", "a"), (None, clean, "en", "a"), (None, None, None, None), (5, f"{clean} {bad}", "en", "a"), (5, clean, "en", "b"), (6, clean, None, "b")]
     assert rows_of(toxicity.drop_toxic(spark.createDataFrame(rows, DOCS), model)) == Counter(r for r in rows if bad not in (r[1] or ""))
+
+
+@pytest.mark.parametrize("dim", [3, 200])
+def test_topk_keeps_large_components(spark, dim):
+    rng = np.random.default_rng(4)
+    v = np.floor(256 * rng.normal(size=(120, dim)).astype(np.float32).astype(np.float64)) / 256
+    v[7] *= 2.0 ** 22
+    v[50] *= 2.0 ** 21
+    v[51] = v[52] = 2.0 ** 19.5  # below 2**28 after scaling; their product passes 64 bits above 128 dimensions
+    v[100, 0], v[3, 0], v[4, 0] = 2.0 ** 90, -2.0 ** 100, 2.0 ** 100
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(300, [float("inf")] * dim), (350, [None] * dim)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    v = v.astype(np.float32).astype(np.float64)
+    exact = [[int(np.floor(256 * c)) for c in x] for x in v.tolist()]
+    want = []
+    for i in (0, 50, 51, 100):
+        scores = sorted((-sum(a * b for a, b in zip(exact[i], exact[j])), j) for j in range(120) if j != i)[:5]
+        want += [(i, r + 1, j, -s if -2 ** 63 <= -s < 2 ** 63 else None) for r, (s, j) in enumerate(scores)]
+    found = topk.top_k(df, (F.col("vec_id") % 50 == 0) | (F.col("vec_id") == 51), 5, query_block=2, file_block=40)
+    assert [tuple(r) for r in found.orderBy("query_id", "rank").collect()] == want
