@@ -67,12 +67,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     and doc_id take neighbouring ranks. Other columns are ignored. The result
     depends on the rows and the seed only, not on partitions.
     """
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"))
-    rows = materialize(rows, "sizes")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", _size().alias("size"))
+    return _drawn(materialize(rows, "sizes"), weights, share, most, seed)
+
+
+def _size():
+    return F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0))
+
+
+def _drawn(rows: DataFrame, weights: Sequence[float], share: float, most: float, seed: int, *more: str) -> DataFrame:
+    """``mix`` of a written table (doc_id, source, size). Columns ``more`` pass through; they settle the order of rows that
+    agree in source, size and doc_id."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (rows.repartitionByRange(n, F.col("source").asc_nulls_last(), "size", "doc_id")
-              .sortWithinPartitions(F.col("source").asc_nulls_last(), "size", "doc_id")
+    order = [F.col("source").asc_nulls_last(), "size", "doc_id", *more]
+    ranked = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()))
     ranked = materialize(ranked, "ranked")  # positions are settled once, whatever is recomputed later
     # rows here: partitions + sources
@@ -89,20 +97,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     u = _offset(seed)
     copies = F.floor((rank + 1) * each + u) - F.floor(rank * each + u)
     return (joined.withColumn("copies", copies.cast("long"))
-            .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
-
-
-def emit(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as ``mix`` says, all columns unchanged.
-    Rows that repeat a doc_id share the copies of their rows evenly by rank (documents normally
-    have ids of their own)."""
-    plan = (mix(docs, **options).groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-            .select(F.col("doc_id").alias("_id"), "_copies", "_rows").filter("_copies > 0"))
-    own = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    # of several rows with one id, the copies go to the rows in turn
-    turn = F.when(F.col("_rows") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*docs.columns), F.col("_rows")))
-    n = F.floor(F.col("_copies") / F.col("_rows")) + (turn < F.col("_copies") % F.col("_rows")).cast("int")
-    return (own.withColumn("_n", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*[own[c] for c in docs.columns]))
+            .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *more))
+
+
+def emit(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
+         seed: int = 17) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as ``mix`` says of this very row, all columns unchanged.
+    Null and repeated doc_ids are rows like any other. Rows that agree in source, size and doc_id take their ranks by a
+    hash of all columns, so that the result does not depend on partitions; between identical rows the order is of no account."""
+    tie = F.xxhash64(*docs.columns).alias("_tie")
+    # written once: a row's number and its columns stay together, whatever is recomputed later
+    rows = materialize(docs.select("*", _size().alias("_size"), tie, F.monotonically_increasing_id().alias("_row")), "sizes")
+    sizes = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("_size").alias("size"), "_tie", "_row")
+    plan = _drawn(sizes, weights, share, most, seed, "_tie", "_row").filter("copies > 0").select("_row", "copies")
+    return (rows.join(plan, "_row").withColumn("_n", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+            .select(*docs.columns))
 
 
 _RATIO = f"""

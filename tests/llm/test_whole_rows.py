@@ -61,3 +61,20 @@ def test_topk_keeps_large_components(spark, dim):
         want += [(i, r + 1, j, -s if -2 ** 63 <= -s < 2 ** 63 else None) for r, (s, j) in enumerate(scores)]
     found = topk.top_k(df, (F.col("vec_id") % 50 == 0) | (F.col("vec_id") == 51), 5, query_block=2, file_block=40)
     assert [tuple(r) for r in found.orderBy("query_id", "rank").collect()] == want
+
+
+def test_mix_emits_what_each_row_drew(spark):
+    rows = [(None if i % 3 == 0 else i % 40, " ".join(["w"] * (1 + i * 7 % 50)) + f" x{i}", "en", "abc"[i % 5 % 3]) for i in range(300)]
+    rows += [(900, "same text here", "en", "a")] * 2 + [(None, "same text there", "en", "b")] * 3
+    df = spark.createDataFrame(rows, DOCS)
+    drawn = mixing.mix(df).collect()
+    size = F.size(F.split("text", " "))
+    emitted = mixing.emit(df).withColumn("size", size)
+    want = Counter()
+    for r in drawn:
+        want[r.doc_id, r.source, r.size] += r.copies
+    assert Counter((r.doc_id, r.source, r.size) for r in emitted.collect()) == +want
+    words = {r.source: r.words for r in emitted.groupBy("source").agg(F.sum("size").alias("words")).collect()}
+    for s, target in {r.source: r.target for r in drawn}.items():
+        assert abs(words[s] - target) <= max(r.size for r in drawn if r.source == s)
+    assert rows_of(mixing.emit(df)) == rows_of(mixing.emit(df.repartition(5)))
