@@ -87,6 +87,21 @@ def public_id(col: str | Column) -> Column:
     return F.when(c != NULL_ID, c)
 
 
+def without_copies(docs: DataFrame, odd: DataFrame, key: list[Column]) -> DataFrame:
+    """The rows of ``docs`` without those whose ``key`` (named columns, never null) is in the written table ``odd``; but of the
+    rows of a key marked ``tied`` there one stays, the smallest by all columns."""
+    names = docs.columns
+    on = [f"_k{i}" for i in range(len(key))]
+    rows = docs.select("*", *[c.alias(n) for c, n in zip(key, on)])
+    odd = odd.toDF(*on, "_tied")
+    rest = rows.join(odd, on, "left_anti").select(*names)
+    tied = odd.filter("_tied")
+    if tied.isEmpty():
+        return rest
+    one = rows.join(tied.select(*on), on, "left_semi").groupBy(*on).agg(F.min(F.struct(*names)).alias("_row")).select("_row.*")
+    return rest.unionByName(one)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``most`` bytes of text (one row at least)."""
     if not batch.num_rows:

@@ -24,16 +24,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import (NULL_ID, flat, longs, lower_ascii, map_arrow, materialize, public_id, scramble, slices,
-                                    word_hashes, word_spans)
+                                    without_copies, word_hashes, word_spans)
 from ledgerspark.llm.components import components
 
 SKETCH_BITS = 20
 BLOCKS = 64
 BITMAP = 8  # 64-bit words
+#: A row is its doc_id and two hashes of its text; rows that agree in these are one text stored several times.
+ROW_KEY = ("did", "t1", "t2")
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -108,8 +110,8 @@ def _set_rows(words: int, threshold: int, levels):
                     maps.append(np.packbits(odd.astype(bool)).view(np.int64))
                 bm = np.stack(maps) if maps else np.empty((0, BITMAP), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("did"), pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
-                    + [pa.array(np.ascontiguousarray(bm[:, i])) for i in range(BITMAP)], ["did", "n", "s1", "s2", "prefix", *(f"b{i}" for i in range(BITMAP))])
+                    [*(part.column(c) for c in ROW_KEY), pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
+                    + [pa.array(np.ascontiguousarray(bm[:, i])) for i in range(BITMAP)], [*ROW_KEY, "n", "s1", "s2", "prefix", *(f"b{i}" for i in range(BITMAP))])
     return run
 
 
@@ -169,27 +171,28 @@ def _linked(words: int, threshold: int):
     return run
 
 
-def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text); ``threshold`` in percent.
+def _row_key() -> list[Column]:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
 
-    Texts are ASCII lower-cased; a set holds the distinct ``words``-word shingles, of a shorter text its word sequence. Null
-    texts and texts without words have the empty set and link with nothing, not even each other. component_id is the smallest
-    doc_id reachable by links, its own included; a null doc_id counts as smaller than any other and makes the component_id
-    null. Rows that repeat a doc_id are one document with the sets of all its rows, each row with its own n_shingles. Empty
-    table: empty result; other columns are ignored."""
+
+def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_id: bool) -> DataFrame:
+    """ROW_KEY, n, least (the smallest ROW_KEY of the row's class, null for an empty set) for each row of ``docs``. Rows are
+    linked by their own texts; with ``by_id`` also the rows that share a doc_id which is not null."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(*_row_key(), F.coalesce("text", F.lit("")).alias("text"))
     levels = spark.sparkContext.broadcast(_levels(rows, words, sketch_bits).tobytes())
     bits = [f"b{i}" for i in range(BITMAP)]
-    sets = materialize(map_arrow(rows, _set_rows(words, threshold, levels), "did long, n int, s1 long, s2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in bits))
+    sets = materialize(map_arrow(rows, _set_rows(words, threshold, levels), "did long, t1 long, t2 long, n int, s1 long, s2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in bits))
                        .withColumn("p", F.xxhash64("prefix")), "sets")
     some = sets.filter("n > 0")
-    # equal sets are one; sets of equal size and prefix are one group, named by its smallest document
-    reps = some.groupBy("n", "s1", "s2", "p").agg(F.min("did").alias("rep"), *[F.min(b).alias(b) for b in bits])
-    groups = some.groupBy("n", "p").agg(F.min("did").alias("g"), F.any_value("prefix").alias("prefix"))
-    members = materialize(reps.join(groups.select("n", "p", "g"), ["n", "p"]).drop("p"), "members")
+    # equal sets are one, numbered once; sets of equal size and prefix are one group, named by its smallest number
+    reps = some.groupBy("n", "s1", "s2", "p").agg(F.min(F.struct(*ROW_KEY)).alias("least"), *[F.min(b).alias(b) for b in bits])
+    reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
+    named = reps.groupBy("n", "p").agg(F.min("rep").alias("g"))
+    groups = some.groupBy("n", "p").agg(F.any_value("prefix").alias("prefix")).join(named, ["n", "p"])
+    members = materialize(reps.join(named, ["n", "p"]).drop("p"), "members")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a group's identity is (g, n): with repeated doc_ids two groups can have the same smallest document
     postings = groups.select(F.explode("prefix").alias("token"), "n", "g").repartitionByRange(parts, "token", "n", "g").sortWithinPartitions("token", "n", "g")
     lists = materialize(map_arrow(postings, _neighbours, "token long, n int, g long, pg long, pn int"), "shared-shingles")
     prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
@@ -201,10 +204,12 @@ def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch
         a = members.select(F.col("rep").alias("x"), F.col("n").alias("nx"), *[F.col(c).alias("x" + c) for c in bits])
         b = members.select(F.col("rep").alias("y"), F.col("n").alias("ny"), *[F.col(c).alias("y" + c) for c in bits])
         near = materialize(pairs.join(a, "x").join(b, "y").filter(_near("nx", "ny", "xb{}", "yb{}", threshold)).select("x", "y").distinct(), "near-pairs")
-        ids = materialize(near.select(F.col("x").alias("did")).unionByName(near.select(F.col("y").alias("did"))).distinct(), "near-ids")
-        texts = rows.join(ids, "did", "left_semi")
-        both = (near.join(texts.select(F.col("did").alias("x"), F.col("text").alias("tx")), "x")
-                .join(texts.select(F.col("did").alias("y"), F.col("text").alias("ty")), "y"))
+        ids = near.select(F.col("x").alias("rep")).unionByName(near.select(F.col("y").alias("rep"))).distinct()
+        ids = materialize(members.join(ids, "rep").select("rep", "least.*"), "near-ids")
+        # a set is read once, from one of the rows that agree in its key
+        texts = rows.join(ids, list(ROW_KEY)).groupBy("rep").agg(F.any_value("text").alias("text"))
+        both = (near.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")
+                .join(texts.select(F.col("rep").alias("y"), F.col("text").alias("ty")), "y"))
         return materialize(map_arrow(both, _linked(words, threshold), "x long, y long").distinct(), name)
 
     def nearest(pairs: DataFrame, most: int) -> DataFrame:
@@ -257,16 +262,44 @@ def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch
     pairs = (entry_pairs.join(classes.withColumnRenamed("rep", "x"), ["g", "n", "cls"])
              .join(classes.select(F.col("rep").alias("y"), F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("cls").alias("cls2")), ["g2", "n2", "cls2"]))
     links = links.unionByName(verified(pairs.select("x", "y"), "links-rest"))
-    # equal sets of different documents, and the sets of one doc_id, hang together through the representative
-    found = components(links).withColumnRenamed("id", "rep")
-    known = (sets.join(members.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left").select("did", F.col("n").alias("n_shingles"), "rep")
-             .join(found, "rep", "left"))
-    return known.select(public_id("did").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
-                        public_id(F.coalesce("component", "rep", "did")).alias("component_id"))
+    known = sets.select(*ROW_KEY, "n", "s1", "s2").join(members.select("n", "s1", "s2", "rep", "least"), ["n", "s1", "s2"], "left").drop("s1", "s2")
+    if by_id:
+        repeated = sets.filter(F.col("did") != NULL_ID).groupBy("did").agg(F.count("*").alias("rows")).filter("rows > 1")
+        repeated = materialize(repeated.select("did"), "repeated-ids")
+        if not repeated.isEmpty():
+            # the sets of one doc_id hang together, and its empty ones go with them
+            known = materialize(known, "known-sets")
+            own = materialize(known.join(repeated, "did").filter("rep IS NOT NULL").select("did", "rep").distinct(), "repeated-sets")
+            first = own.groupBy("did").agg(F.min("rep").alias("first"))
+            links = links.unionByName(own.join(first, "did").select(F.col("rep").alias("x"), F.col("first").alias("y")))
+            first = first.join(members.select(F.col("rep").alias("first"), F.col("least").alias("first_least")), "first")
+            known = (known.join(first, "did", "left").withColumn("rep", F.coalesce("rep", "first"))
+                     .withColumn("least", F.coalesce("least", "first_least")).drop("first", "first_least"))
+    found = materialize(components(links).withColumnRenamed("id", "rep"), "components")
+    smallest = found.join(members.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("class_least"))
+    found = found.join(smallest, "component").select("rep", "class_least")
+    return known.join(found, "rep", "left").select(*ROW_KEY, "n", F.coalesce("class_least", "least").alias("least"))
+
+
+def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text); ``threshold`` in percent.
+
+    Texts are ASCII lower-cased; a set holds the distinct ``words``-word shingles, of a shorter text its word sequence. Null
+    texts and texts without words have the empty set and link with nothing, not even each other. component_id is the smallest
+    doc_id reachable by links, its own included; a null doc_id counts as smaller than any other and makes the component_id
+    null. Rows that repeat a doc_id are one document with the sets of all its rows, each row with its own n_shingles; rows
+    with a null doc_id are documents of their own. Empty table: empty result; other columns are ignored."""
+    out = _classes(docs, words, threshold, sketch_bits, True)
+    return out.select(public_id("did").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
+                      public_id(F.coalesce("least.did", "did")).alias("component_id"))
 
 
 def one_of_each_class(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its class, all columns unchanged; rows without words stay."""
-    gone = (jaccard_classes(docs, words, threshold).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each class of near copies, that of the smallest doc_id (null first), all columns unchanged; rows without words
+    stay. Classes are those of rows: rows that share a doc_id, or have none, are linked by their own texts only. Of rows that
+    repeat doc_id and text one stays."""
+    rows = _classes(docs, words, threshold, SKETCH_BITS, False).filter("least IS NOT NULL")
+    keys = rows.groupBy(*ROW_KEY).agg(F.any_value("least").alias("least"), F.count("*").alias("rows"))
+    first = F.struct(*ROW_KEY) == F.col("least")
+    odd = materialize(keys.filter(~first | (F.col("rows") > 1)).select(*ROW_KEY, first.alias("tied")), "dropped")
+    return without_copies(docs, odd, _row_key())

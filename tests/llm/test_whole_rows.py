@@ -78,3 +78,17 @@ def test_mix_emits_what_each_row_drew(spark):
     for s, target in {r.source: r.target for r in drawn}.items():
         assert abs(words[s] - target) <= max(r.size for r in drawn if r.source == s)
     assert rows_of(mixing.emit(df)) == rows_of(mixing.emit(df.repartition(5)))
+
+
+def test_near_copies_are_rows_and_not_ids(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, other, third = " ".join(words), " ".join(f"o{i}" for i in range(100)), " ".join(f"t{i}" for i in range(100))
+    rows = [(3, near, "en", "a"), (5, near + " tail", "en", "a"), (5, other, "en", "b"), (None, third, "en", "a"), (None, third + " tail", "en", "a"),
+            (None, "quite something else than that", "en", "a"), (None, "", "en", "a"), (None, None, "en", "a"), (8, other + " tail", "en", "a"), (9, other, "en", "a"), (9, other, "en", "a")]
+    kept = jaccard_join.one_of_each_class(spark.createDataFrame(rows, DOCS))
+    got = rows_of(kept)
+    assert sum(got[r] for r in (rows[3], rows[4])) == 1  # of two near copies without an id, one
+    assert got - Counter([rows[3], rows[4]]) == Counter([rows[0], rows[2], rows[5], rows[6], rows[7]])
+    out = Counter((r.doc_id, r.component_id) for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, DOCS)).collect())
+    # both texts of 5 are one document: 3, 5, 8 and 9 hang together
+    assert out == Counter({(3, 3): 1, (5, 3): 2, (8, 3): 1, (9, 3): 2, (None, None): 5})
