@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import longs, map_arrow, materialize, ship_package
+from ledgerspark.llm.common import NULL_ID, longs, map_arrow, materialize, ship_package, without_copies
 
 FILTER_ROWS = 500_000  # fingerprints per filter: bounds a task's memory, not the input
 
@@ -147,11 +147,13 @@ def exact_dedup(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, all columns unchanged."""
-    gone = (exact_dedup(docs).filter(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")).distinct())
+    """One row of each text, of the largest doc_id as in ``exact_dedup``, all columns unchanged. Of rows that repeat this
+    doc_id and text, or all have no doc_id, one stays, the smallest by all columns."""
+    copies = (exact_dedup(docs).filter("group_size > 1").groupBy("doc_id", "text_sha256")
+              .agg(F.any_value("kept").alias("kept"), F.count("*").alias("rows")))
+    odd = copies.filter("NOT kept OR rows > 1").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("did"), "text_sha256", F.col("kept").alias("tied"))
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (sha == F.col("_sha")), "left_anti")
+    return without_copies(docs, materialize(odd, "dropped"), [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), sha])
 
 
 ORACLE = """

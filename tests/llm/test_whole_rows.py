@@ -92,3 +92,11 @@ def test_near_copies_are_rows_and_not_ids(spark):
     out = Counter((r.doc_id, r.component_id) for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, DOCS)).collect())
     # both texts of 5 are one document: 3, 5, 8 and 9 hang together
     assert out == Counter({(3, 3): 1, (5, 3): 2, (8, 3): 1, (9, 3): 2, (None, None): 5})
+
+
+def test_one_row_stays_of_rows_that_repeat_id_and_text(spark):
+    rows = [(1, "a", "en", "x"), (2, "a", "en", "x"), (2, "a", "en", "x"), (2, "a", "de", "x"), (None, "b", "en", "x"), (None, "b", "en", "x"),
+            (None, "", "en", "x"), (None, None, "en", "x"), (3, "c", "en", "x"), (3, "d", "en", "x")]
+    kept = exact_dedup.drop_exact_copies(spark.createDataFrame(rows, DOCS)).collect()
+    assert Counter((r.doc_id, r.text or "") for r in kept) == Counter([(2, "a"), (None, "b"), (None, ""), (3, "c"), (3, "d")])
+    assert all(tuple(r) in rows for r in kept)
