@@ -9,7 +9,10 @@ Only links that can join two classes have to be found, so the join runs in round
 nearest neighbours in every shingle's list (sorted by size; one scan, no pairs), the verified links form classes, and this is
 repeated between classes, there against the cleanest group of each list (the one with the largest share of shared shingles; copies
 with few changes all link to it). The last round takes all pairs that share enough prefix shingles and are still in different
-classes. Near copies by the thousand are one class before that round, so they never meet pair by pair, and no link is lost.
+classes. Near copies by the thousand are one class before that round, so they never meet pair by pair, and no class is lost.
+
+The result is the classes, not the join's links: pairs inside a class are neither listed nor counted, as most of them
+never meet, so neither a join's links nor a document's number of links can be read from it.
 
 The global order needs shingle frequencies: a sketch of ``1 << SKETCH_BITS`` counters over all documents gives each shingle a
 level (logarithm of its counter). Any order gives right results; this one keeps frequent shingles out of the index. It is
