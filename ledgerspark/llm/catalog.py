@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import (bpe, chat, exact_dedup, jaccard_join, mixing, substring_dedup, suffix_array, token_files, topk, toxicity)
+from ledgerspark.llm import (bpe, chat, exact_dedup, jaccard_join, merkle, mixing, substring_dedup, suffix_array, token_files, topk, toxicity)
 from ledgerspark.llm.common import documents, materialize, public_id
 from ledgerspark.session import table
 
@@ -72,6 +72,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_proofs(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_suffix_array_dedup, op5_ngram_jaccard_join,
-                                   op6_toxicity, op7_chat_formatting, op8_exact_topk, op9_token_files, op10_bpe)}
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op7_chat_formatting": chat.ORACLE, "op8_exact_topk": topk.ORACLE}
+                                   op6_toxicity, op7_chat_formatting, op8_exact_topk, op9_token_files, op10_bpe, op11_merkle_manifest)}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op7_chat_formatting": chat.ORACLE, "op8_exact_topk": topk.ORACLE,
+           "op11_merkle_manifest": merkle.ORACLE}
