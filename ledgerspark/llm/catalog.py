@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import (bpe, chat, exact_dedup, jaccard_join, merkle, mixing, substring_dedup, suffix_array, token_files, topk, toxicity)
+from ledgerspark.llm import (bpe, chat, exact_dedup, hard_negatives, jaccard_join, merkle, mixing, pii, substring_dedup, suffix_array, token_files, topk, toxicity)
 from ledgerspark.llm.common import documents, materialize, public_id
 from ledgerspark.session import table
 
@@ -76,7 +76,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_proofs(documents(spark, sf_dir))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.turned_labels(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_table(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_mixing, op4_suffix_array_dedup, op5_ngram_jaccard_join,
-                                   op6_toxicity, op7_chat_formatting, op8_exact_topk, op9_token_files, op10_bpe, op11_merkle_manifest)}
+                                   op6_toxicity, op7_chat_formatting, op8_exact_topk, op9_token_files, op10_bpe, op11_merkle_manifest, op12_hard_negatives,
+                                   op13_pii)}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op7_chat_formatting": chat.ORACLE, "op8_exact_topk": topk.ORACLE,
-           "op11_merkle_manifest": merkle.ORACLE}
+           "op11_merkle_manifest": merkle.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
