@@ -207,14 +207,11 @@ def backtest(df_long: DataFrame, cfg: SeriesConfig, models=MODEL_NAMES,
 
 def forecast_and_load(raw_long: DataFrame, cfg: SeriesConfig, script_name: str, target,
                       models=MODEL_NAMES) -> dict[str, int]:
-    """D11-D13 tail: validate (R4), load the clean source and the rejected rows,
-    run every model (M7) and load forecast, forecast_error, train and test
-    (one replace per table, K1). The raw rows are read and parsed once. Returns
-    table -> rows written."""
+    """D11-D13 tail: validate (R4), run every model (M7) and load the clean source, the rejected rows, forecast, forecast_error,
+    train, test and errors (K1, replaced). The raw rows are read and parsed once. A target that can ``publish`` shows all these
+    tables at once, so forecasts never stand beside another run's source. Returns table -> rows written."""
     from ledgerspark.sinks.tables import upload
     clean, rejected, _members = validate.validate_split(raw_long, cfg, materialize=True)
-    counts = upload({"source": clean, "rejected_data": rejected}, script_name, target)
     res = backtest(clean, cfg, models, materialize=True)
     tables = {k: res[k] for k in ("forecast", "forecast_error", "train", "test", "errors") if k in res}
-    counts.update(upload(tables, script_name, target))
-    return counts
+    return upload({"source": clean, "rejected_data": rejected, **tables}, script_name, target)

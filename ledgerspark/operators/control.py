@@ -1,7 +1,8 @@
 """Incremental-load control over run-log tables.
 
-Log tables are ordinary DataFrames (Parquet or JDBC). Parquet has no UPDATE,
-so the upsert returns a new snapshot that the caller writes to a fresh folder.
+Log tables are ordinary DataFrames (Parquet or JDBC). Parquet has no UPDATE, so the upsert returns a new snapshot; ``record_runs``
+publishes it together with the history rows as one commit of ``sinks.publish.PublishedTables``, so readers see the log before
+or after the runs and never between.
 ``as_of`` is always passed in; nothing reads the wall clock.
 """
 
@@ -9,12 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.config import FULL_LOAD_LOOKBACK_DAYS
 from ledgerspark.functions.dates import ntz_literal
 from ledgerspark.operators.recon import latest_by
+from ledgerspark.sinks.publish import StaleVersion
 
 LOG_COLUMNS = ("script_name", "start_datetime", "end_datetime", "rundate", "status", "load_type")
 
@@ -65,6 +67,25 @@ def history_rows(windows: DataFrame, start_col: str = "date_from", end_col: str
         F.col("load_type"))
 
 
+def record_runs(spark: SparkSession, store, runs: DataFrame, logs: str = "logs", history: str = "logs_history",
+                attempts: int = 5) -> dict[str, int]:
+    """C3 + C4 written: the upserted run log replaces the log table and the runs are appended to the history, in one commit. The
+    upsert reads a version and is published only if that is still the newest; otherwise it is computed again from the newer
+    one. Tables that do not exist yet start empty. Returns rows written per table."""
+    for _ in range(attempts):
+        now = store.manifest(spark)
+        rows = runs.select(*LOG_COLUMNS)
+        try:
+            old = store.read_from(spark, logs, now)
+        except KeyError:
+            old = rows.limit(0)
+        try:
+            return store.publish({logs: upsert_run_log(old, rows), history: rows}, append=lambda table: table == history, expected=now.version)
+        except StaleVersion:
+            continue
+    raise StaleVersion(f"{logs} changed {attempts} times while runs were recorded")
+
+
 def append_history(history: DataFrame, new_rows: DataFrame) -> DataFrame:
     """The history table with the new rows appended."""
     return history.select(*LOG_COLUMNS).unionByName(new_rows.select(*LOG_COLUMNS))

@@ -58,7 +58,7 @@ def _flag(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
     return step.withColumn(ERROR_FLAG, F.concat_ws("", *reasons))
 
 
-def _rows_where(df: DataFrame, cond: Column) -> DataFrame:
+def rows_where(df: DataFrame, cond: Column) -> DataFrame:
     """``df.filter(cond)``, evaluated after ``df``'s projection: each row is
     emitted through ``explode`` of a zero- or one-element array. A plain
     filter on a computed column is pushed below the projection, so every row
@@ -82,7 +82,7 @@ def validate_split(df: DataFrame, cfg: SeriesConfig, materialize: bool = False):
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
         flagged = flagged.checkpoint(eager=True)
-    where = DataFrame.filter if materialize else _rows_where
+    where = DataFrame.filter if materialize else rows_where
     val = cfg.value_col
     clean = (where(flagged, F.col(ERROR_FLAG) == "")
              .withColumn(val, F.col(_NUM)).drop(ERROR_FLAG, _NUM))
@@ -91,6 +91,13 @@ def validate_split(df: DataFrame, cfg: SeriesConfig, materialize: bool = False):
     return clean, errors, members
 
 
+def rejected_with_lines(errors: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rejected rows of R4 and the lines that were no rows (``files.read_checked``) in one table: R4's columns, as text, the reason,
+    and ``line`` and ``file``, which are NULL for rows that R4 rejected."""
+    as_text = errors.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in errors.columns])
+    return lines.select(*[F.col(f"`{c}`") for c in lines.columns]).unionByName(as_text, allowMissingColumns=True)
+
+
 def nonfinite_metrics_to_null(df: DataFrame, cols=METRIC_COLUMNS) -> DataFrame:
     """NaN and +-inf in the metric columns become NULL."""
     present = [c for c in cols if c in df.columns]

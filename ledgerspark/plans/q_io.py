@@ -137,18 +137,19 @@ def k5_csv_extraction(spark, sf):
 
 @register("k6_streaming_csv_load", ("K6",), oracle="SELECT * FROM lineitem")
 def k6_streaming_csv_load(spark, sf):
-    """Landing folder of CSV files (one per return flag) ingested incrementally
+    """Landing folder of CSV files (by return flag) ingested incrementally
     into a table; processed files move to the archive folder."""
     base = _run_dir(spark, "k6")
     landing = os.path.join(base, "landing")
     li = table(spark, sf, "lineitem")
-    for flag in ("A", "N", "R"):
-        li.filter(F.col("l_returnflag") == flag).write.option("header", True).csv(os.path.join(landing, flag))
+    for flag in ("A", "N", "R", "other"):
+        own = F.coalesce(F.col("l_returnflag"), F.lit("")).isin("A", "N", "R")
+        li.filter(F.col("l_returnflag") == flag if flag != "other" else ~own).write.option("header", True).csv(os.path.join(landing, flag))
     target = tsink.ParquetTarget(os.path.join(base, "stage"))
     csv_ingest.ingest_new_csv(spark, os.path.join(landing, "*"), LINE_SCHEMA, target, "lineitem",
                               os.path.join(base, "archive", LOAD_DATE.strftime("%Y%m%d")),
                               os.path.join(base, "_checkpoint"))
-    return target.read(spark, "lineitem").drop("batch_id")
+    return target.read(spark, "lineitem").drop("batch_id", csv_ingest.FILE)
 
 
 @register("k8_named_export", ("K8",), oracle="""

@@ -2,15 +2,15 @@
 
 A load is one write action per frame. Row counts come from an ``Observation``
 on the written DataFrame, so the count is taken during the write and the
-data is read once. Targets are JDBC tables or Parquet directories (the file
-twin used where no database is at hand).
+data is read once. Targets are JDBC tables, Parquet directories (the file
+twin used where no database is at hand), or ``publish.PublishedTables``, whose loads of several tables are one commit.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +63,12 @@ class ParquetTarget:
             w = w.partitionBy(*self.partition_by)
         w.parquet(self.path(table))
 
-    def write_batch(self, df: DataFrame, table: str, batch_id: int) -> None:
-        """One streaming micro-batch in a folder of its own: writing it again replaces it."""
-        df.write.mode("overwrite").parquet(os.path.join(self.path(table), f"batch_id={batch_id}"))
+    def write_batch(self, df: DataFrame, table: str, batch_id: int, by: tuple[str, ...] = ()) -> str:
+        """One streaming micro-batch in a folder of its own, with a folder per value of ``by`` in it: writing it again replaces
+        it. Returns the folder."""
+        folder = os.path.join(self.path(table), f"batch_id={batch_id}")
+        df.write.mode("overwrite").partitionBy(*by).parquet(folder)
+        return folder
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
@@ -80,13 +83,29 @@ def write_counted(df: DataFrame, target, table: str, append: bool) -> int:
 
 
 def upload(frames: dict[str, DataFrame], script_name: str, target, append: bool = False) -> dict[str, int]:
-    """K1/K2/K3: each frame to table ``{script}_{name}``, replaced (truncate) or
-    appended. Returns table -> rows written (every table, not only the last)."""
-    counts = {}
-    for name, df in frames.items():
-        table = f"{script_name}_{name}"
-        counts[table] = write_counted(df, target, table, append)
-    return counts
+    """K1: each frame to table ``{script}_{name}``, replaced (truncate) or appended. Returns table -> rows written (every
+    table, not only the last). A target that can ``publish`` shows all tables of the load at once or, after a failure, none;
+    others are written one after another."""
+    named = {f"{script_name}_{name}": df for name, df in frames.items()}
+    if hasattr(target, "publish"):
+        return target.publish(named, append)
+    return {table: write_counted(df, target, table, append) for table, df in named.items()}
+
+
+def _with_options(target, **options):
+    """The target with those of ``options`` that its kind has."""
+    return replace(target, **{k: v for k, v in options.items() if v is not None and k in target.__dataclass_fields__})
+
+
+def load_replace(frames: dict[str, DataFrame], script_name: str, target) -> dict[str, int]:
+    """K2: named frames, always replaced, in batches of ``BATCH_POSTGRES`` rows."""
+    return upload(frames, script_name, _with_options(target, batchsize=BATCH_POSTGRES))
+
+
+def load_into(frames: dict[str, DataFrame], script_name: str, target, schema: str, append: bool = False) -> dict[str, int]:
+    """K3: named frames into ``schema`` of any target, replaced or appended, in batches of ``BATCH_GENERAL`` rows. A failure
+    raises; on a target that can ``publish`` nothing of the load is seen then."""
+    return upload(frames, script_name, _with_options(target, batchsize=BATCH_GENERAL, schema=schema), append)
 
 
 def audit_rows(spark: SparkSession, script_name: str, counts: dict[str, int], on: dt.date) -> DataFrame:
@@ -105,8 +124,8 @@ def append_audit(spark: SparkSession, script_name: str, counts: dict[str, int],
 
 def transfer(source: DataFrame, target, table: str, append: bool = False) -> int:
     """K4: move a source query's rows into a table (truncate first unless
-    appending); rows stream through the executors, never the driver."""
-    return write_counted(source, target, table, append)
+    appending) in batches of ``BATCH_TRANSFER`` rows; rows stream through the executors, never the driver."""
+    return write_counted(source, _with_options(target, batchsize=BATCH_TRANSFER), table, append)
 
 
 def replace_tables(spark: SparkSession, frames: dict[str, DataFrame], location: str | None = None) -> DataFrame:
