@@ -31,6 +31,8 @@ from ledgerspark.llm.token_files import Memo, packed
 
 END = "￿"  # stands for the end-of-word suffix inside the automaton; no token string holds it
 NEVER = 1 << 60
+PAIRS = 400_000  # entries of the pair-compatibility table that a worker keeps, some 50 MB
+WORDS, PIECES = 350_000, 500_000  # entries per generation of a worker's memos, some 250 MB in all at most
 
 
 class Merges:
@@ -50,7 +52,7 @@ class Merges:
             self.parts[whole] = a, b
             self.rank[whole] = rank
         self.string = {i: self._marked(t) for t, i in vocab.items()}
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # by left * size + right
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
         usable = self._usable()
@@ -98,11 +100,12 @@ class Merges:
         return good
 
     def fits(self, a: int, b: int) -> bool:
-        known = self.compatible.get((a, b))
+        pair = a * self.size + b
+        known = self.compatible.get(pair)
         if known is None:
-            if len(self.compatible) > 2_000_000:
+            if len(self.compatible) > PAIRS:
                 self.compatible.clear()
-            known = self.compatible[a, b] = not self._crossed(a, b)
+            known = self.compatible[pair] = not self._crossed(a, b)
         return known
 
     def encode(self, word: str) -> list[int]:
@@ -161,7 +164,7 @@ class Codec:
             table[i] = token.encode() + b" "
         self.buffer = np.frombuffer(b"".join(table), np.uint8)
         self.offset = np.concatenate(([0], np.cumsum([len(t) for t in table])))
-        self.words, self.pieces = Memo(), Memo()
+        self.words, self.pieces = Memo(WORDS), Memo(PIECES)
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
         return [packed(self.merges.encode(w)) for w in words]

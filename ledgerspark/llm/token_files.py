@@ -172,13 +172,12 @@ class Memo:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         unknown = []
-        for k in keys:
-            if k not in new:
-                v = old.get(k)
-                if v is None:
-                    unknown.append(k)
-                else:
-                    new[k] = v
+        for k in keys.difference(new):  # set against dict: only the keys are gone through
+            v = old.get(k)
+            if v is None:
+                unknown.append(k)
+            else:
+                new[k] = v
         if unknown:
             new.update(zip(unknown, make(unknown), strict=True))
         return new
@@ -188,12 +187,16 @@ class Encoder:
     """Ids by the tokenizers library, one call per distinct piece.
 
     The byte-level pre-tokenizer never joins a space with the non-space before it, so a text may be cut before each
-    space that a non-space follows without changing its ids; equal pieces are encoded once. Texts that
-    hold a special token's string, and white space that such a cut could part, are treated without the shortcut.
+    space that a non-space follows without changing its ids; equal pieces are encoded once. A piece is kept under the word after
+    its space. Unknown pieces are cut once more, between letters and the punctuation behind them, where the
+    pre-tokenizer cuts too, so that the library meets each word once, with and without a comma. Texts that hold a special
+    token's string, and white space that such a cut could part, are treated without the shortcut.
     """
 
     _INSIDE_RUN = re.compile(r" (?<=\s )(?:\s|\Z)")
     _CUT = re.compile(r"(?= \S)")
+    _PUNCTUATION = ".,;:!?"
+    _LINE_IN_RUN = (re.compile(r"\n(?:\s|\Z)"), re.compile(r"\n(?<=\s\n)"))
 
     def __init__(self, path: str):
         import os
@@ -203,25 +206,68 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = Memo()
+        self.spaced, self.bare = Memo(), Memo(MEMO // 4)  # words after a space; pieces without one
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, text: str) -> list[str]:
-        if self._INSIDE_RUN.search(text) or text.startswith(" ") or "  " in text:
-            return self._CUT.split(text)
-        head, *rest = text.split(" ")
-        return [head, *map(" ".__add__, rest)]
+    def _batches(self, pieces: list[str]) -> list[bytes]:
+        return [ids for i in range(0, len(pieces), 4096) for ids in self._whole(pieces[i:i + 4096])]
+
+    def _run(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each with the space before it: one call for many, cut where the pre-tokenizer cuts."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 8192):
+            some = words[i:i + 8192]
+            e = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            data, piece = packed(e.ids), np.array(e.word_ids, np.int64)
+            at = [0, *(4 * (np.flatnonzero(piece[1:] != piece[:-1]) + 1)).tolist(), len(data)]
+            out += [data[a:b] for a, b in zip(at, at[1:])]
+        return out
+
+    def _unknown(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with the space before it, or of a line end and the word behind it."""
+        lines = [w for w in words if w[:1] == "\n"]
+        bare = self.bare.fill({"\n", *[w[1:] for w in lines]}, self._batches) if lines else {}
+        out = {w: bare["\n"] + bare[w[1:]] for w in lines}
+        known = self.spaced.new
+        cores = {}  # letters, then punctuation only: the pre-tokenizer cuts between them
+        odd = []
+        for w in words:
+            core = w.rstrip(self._PUNCTUATION)
+            if core.isalpha():
+                cores[w] = core
+            elif w not in out:
+                odd.append(w)
+        out.update(zip(odd, self._batches([" " + w for w in odd]), strict=True))
+        letters = list(set(cores.values()).difference(known))
+        own = dict(zip(letters, self._run(letters), strict=True))
+        tails = self.bare.fill({w[len(c):] for w, c in cores.items() if len(c) < len(w)}, self._batches)
+        for w, c in cores.items():
+            ids = own.get(c) or known[c]
+            out[w] = ids if len(c) == len(w) else ids + tails[w[len(c):]]
+        return list(map(out.__getitem__, words))
+
+    def _split(self, text: str) -> tuple[str, list[str]] | None:
+        """The piece before the first space, and the words after each space; None if spaces may not be cut so."""
+        if "  " in text or self._INSIDE_RUN.search(text):
+            return None
+        if "\n" in text and not any(r.search(text) for r in self._LINE_IN_RUN):
+            text = text.replace("\n", " \n")  # a lone line end is a token's start and its end too: ``_unknown`` knows it
+        head, *words = text.split(" ")
+        return head, words
+
+    def _odd(self, text: str) -> bytes:
+        """Ids of a text with runs of white space, or with a special token's string (not cut then)."""
+        return b"".join(self._whole([text] if any(s in text for s in self.special) else self._CUT.split(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [None if any(s in t for s in self.special) else self.pieces(t) for t in texts]
-        get = self.memo.fill(set().union(*[c for c in cut if c]), self._batches).__getitem__
-        return [self._whole([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
-
-    def _batches(self, pieces: list[str]) -> list[bytes]:
-        return [ids for i in range(0, len(pieces), 4096) for ids in self._whole(pieces[i:i + 4096])]
+        cut = [None if any(s in t for s in self.special) else self._split(t) for t in texts]
+        heads = self.bare.fill({c[0] for c in cut if c}, self._batches)
+        heads = [heads[c[0]] if c else b"" for c in cut]
+        get = self.spaced.fill(set().union(*[c[1] for c in cut if c]), self._unknown).__getitem__
+        return [head + b"".join(map(get, c[1])) if c else self._odd(t) for t, c, head in zip(texts, cut, heads, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
