@@ -59,6 +59,25 @@ def bin_start(c, freq: str) -> Column:
     return F.make_timestamp_ntz(F.year(t), month, day, hour, F.lit(0), F.lit(0))
 
 
+def bin_number(start, freq: str) -> Column:
+    """The number of a period bin, given its start (``bin_start``): consecutive bins have consecutive numbers."""
+    unit, t = FREQUENCIES[freq][0], _c(start)
+    months = F.year(t) * 12 + F.month(t) - 1
+    days = F.unix_date(t.cast("date"))
+    return {"hour": days * 24 + F.hour(t), "day": days, "month": months, "quarter": F.floor(months / 3), "year": F.year(t)}[unit].cast("long")
+
+
+def bin_of_number(number, freq: str) -> Column:
+    """The start of a period bin, given its number."""
+    unit, n = FREQUENCIES[freq][0], _c(number)
+    if unit in ("hour", "day"):
+        day = F.date_from_unix_date((F.floor(n / 24) if unit == "hour" else n).cast("int"))
+        hour = F.pmod(n, F.lit(24)).cast("int") if unit == "hour" else F.lit(0)
+        return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), hour, F.lit(0), F.lit(0))
+    months = n * {"month": 1, "quarter": 3, "year": 12}[unit]
+    return F.make_timestamp_ntz(F.floor(months / 12).cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+
+
 def parse_timestamp(c, formats) -> Column:
     """First format that parses, as TIMESTAMP_NTZ; NULL when none does (never
     raises). ``try_to_timestamp`` only tests validity; the value comes from

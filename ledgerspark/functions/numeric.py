@@ -15,8 +15,6 @@ MAX_DECIMAL_EXPONENT = 308
 INF_TEXT = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
 _EDGE_WS = "^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$"
 
-MONEY = "decimal(38,10)"
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -54,8 +52,10 @@ def to_int_code(c) -> Column:
 
 
 def round_money(c, scale: int = 2) -> Column:
-    """ROUND half away from zero on the decimal value (ten digits after the point before rounding), returned as DOUBLE."""
-    return F.round(_c(c).cast(MONEY), scale).cast("double")
+    """ROUND half away from zero of the value's shortest decimal text, rounded once, as DOUBLE. Values too large for a decimal
+    (their spacing is far above ``scale``) and non-finite ones stay as they are."""
+    x = _c(c)
+    return F.coalesce(x.try_cast(f"decimal(38,{scale})").cast("double"), x.cast("double"))
 
 
 def nonfinite_to_null(c) -> Column:

@@ -23,8 +23,8 @@ from ledgerspark.session import ship_package
 
 MODEL = "Holt-Winters"
 SEASON = 12
-# Fixed search grid for (alpha, beta, gamma).
-GRID_VALUES = (0.1, 0.3, 0.5, 0.7, 0.9)
+# Half the distance of the default grid's values: the first box around the best grid point.
+BOX = 0.1
 MIN_TRAIN = 2 * SEASON
 STATE = ("level", "trend", "season", "sse", "alpha", "beta", "gamma")
 
@@ -48,7 +48,19 @@ def search(y: np.ndarray, grid: np.ndarray):
     return level[k], trend[k], season[order, k], sse[k], *grid[k]
 
 
-def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> DataFrame:
+def refine(y: np.ndarray, grid: np.ndarray, rounds: int):
+    """``search`` over ``grid``, then ``rounds`` times over the 27 points one step away from the best one or on it, the step halved each
+    time from ``BOX`` and parameters kept within 0 and 1. The best point is among the next round's, so the SSE never rises."""
+    best = search(y, grid)
+    step = BOX
+    for _ in range(rounds):
+        near = [sorted({min(max(p + d, 0.0), 1.0) for d in (-step, 0.0, step)}) for p in best[4:]]
+        best = search(y, np.array(list(itertools.product(*near)), float))
+        step /= 2
+    return best
+
+
+def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=None) -> DataFrame:
     """Best final state per series: dim, last_date, n_train, level, trend, season, sse, alpha, beta, gamma.
 
     One row per series throughout; the winner is the first minimum SSE (grid
@@ -63,11 +75,12 @@ def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> Data
                     lambda s: s["v"]).alias("y"),
         F.max(date).alias("last_date"))
     ok = arr.withColumn("n_train", F.size("y")).filter(F.col("n_train") >= MIN_TRAIN)
-    points = np.array(list(itertools.product(grid, repeat=3)), float)
+    points = np.array(list(itertools.product(grid or cfg.smoothing_grid, repeat=3)), float)
+    rounds = cfg.smoothing_rounds
 
     def fit(batches):
         for pdf in batches:
-            found = [search(np.asarray(y, float), points) for y in pdf["y"]]
+            found = [refine(np.asarray(y, float), points, rounds) for y in pdf["y"]]
             yield pd.concat([pdf.drop(columns="y"), pd.DataFrame(found, columns=list(STATE), index=pdf.index)], axis=1)
 
     rows = ok.select(dim, "last_date", "n_train", "y")
@@ -76,7 +89,7 @@ def fit_states(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> Data
     return rows.mapInPandas(fit, T.StructType([f for f in rows.schema if f.name != "y"] + state))
 
 
-def forecast(prepared: DataFrame, cfg: SeriesConfig, grid=GRID_VALUES) -> DataFrame:
+def forecast(prepared: DataFrame, cfg: SeriesConfig, grid=None) -> DataFrame:
     """Forecast rows (dim, date, value, Model, error) plus one error row per
     series too short to fit."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col

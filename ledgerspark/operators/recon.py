@@ -9,6 +9,7 @@ partitions at run time. No hint here forces a broadcast of an unmeasured side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,8 +97,42 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fixed)
 
 
-def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: str = "ax_key") -> DataFrame:
-    """(wms LEFT JOIN ax) UNION (ax LEFT JOIN wms) on the key, DISTINCT.
+def key_by(rule: str) -> Callable[[Column], Column]:
+    """How two keys are compared: ``exact``, ``lower`` (letters without case), or a collation of Spark by name, such as
+    ``UNICODE_CI_AI`` (without case and accents, what many databases do unasked)."""
+    if rule == "exact":
+        return lambda c: c
+    if rule == "lower":
+        return F.lower
+    return lambda c: F.collate(c, rule)
+
+
+def _split_hot(w: DataFrame, a: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_i`` and ``_j`` to join on besides ``_k``. A key with more than ``most`` rows on a side is cut there into parts of
+    about that many rows, and every part meets every part of the other side: (i, j) is one task's share of the key's
+    pairs. ``_hot`` marks rows of keys that are cut. Keys without rows on both sides stay whole.
+
+    The list of cut keys has at most one entry per ``most`` rows."""
+    def counts(df: DataFrame, n: str) -> DataFrame:
+        return df.filter(F.col("_k").isNotNull()).groupBy("_k").agg(F.count(F.lit(1)).alias(n))
+
+    hot = (counts(w, "_n").join(counts(a, "_m"), "_k").filter((F.col("_n") > most) | (F.col("_m") > most))
+           .select("_k", F.ceil(F.col("_n") / most).alias("_is"), F.ceil(F.col("_m") / most).alias("_js")))
+
+    def cut(df: DataFrame, own: str, other: str, own_parts: str, other_parts: str) -> DataFrame:
+        columns = [c for c in df.columns if c != "_k"]
+        parts = df.join(hot, "_k", "left").withColumn("_hot", F.col("_is").isNotNull())
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.coalesce(F.col(own_parts), F.lit(1)))
+        return (parts.withColumn(own, part).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other_parts), F.lit(1).cast("long")) - 1)))
+                .drop("_is", "_js"))
+
+    return cut(w, "_i", "_j", "_is", "_js"), cut(a, "_j", "_i", "_js", "_is").drop("_hot")
+
+
+def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: str = "ax_key", rule: str = "exact",
+              split_rows: int | None = None) -> DataFrame:
+    """(wms LEFT JOIN ax) UNION (ax LEFT JOIN wms) on the key, DISTINCT. Keys are compared by ``rule`` (see ``key_by``); rows keep
+    their keys as they are.
 
     Each side is deduplicated first (the union is distinct anyway; the dedupe
     is a partial aggregation over all columns, so a hot key still spreads over
@@ -108,17 +143,29 @@ def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: s
     join, but AQE can split a skewed key on the (larger, detailed) WMS side,
     which it cannot do for a full outer join. No final DISTINCT is needed: the
     three parts are disjoint and each is already distinct.
+
+    AQE splits one side only. With ``split_rows``, a key that has more rows than that on either side is cut on both, and its
+    pairs spread over as many tasks as there are pairs of parts (``_split_hot``).
     """
     w, a = wms.distinct(), ax.distinct()
-    kw, ka = F.col(f"`{key_wms}`"), F.col(f"`{key_ax}`")
-    a_k = a.filter(ka.isNotNull())  # what the left join reads of the ERP side: the same plan,
-    left = w.join(a_k, w[key_wms] == a_k[key_ax], "left")  # so its key shuffle is reused below
-    w_keys = w.select(kw.alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    only_a = a_k.join(w_keys, ka == F.col("_k"), "left_anti").unionByName(a.filter(ka.isNull()))
+    compared = key_by(rule)
+    # same plan as what the left join reads of the ERP side, so its key shuffle is reused below
+    w_k = w.withColumn("_k", compared(F.col(f"`{key_wms}`")))
+    a_k = a.withColumn("_k", compared(F.col(f"`{key_ax}`"))).filter(F.col("_k").isNotNull())
+    w_cols, a_cols = [F.col(f"`{c}`") for c in w.columns], [F.col(f"`{c}`") for c in a.columns]
+    if split_rows is None:
+        left = w_k.join(a_k, w_k["_k"] == a_k["_k"], "left")
+    else:
+        w_part, a_part = _split_hot(w_k, a_k, split_rows)
+        on = ["_k", "_i", "_j"]
+        a_part = a_part.withColumn("_met", F.lit(True))
+        # a part of a cut key may meet a part without rows: its own rows are matched in other parts
+        left = w_part.join(a_part, on, "left").filter(~F.col("_hot") | F.col("_met").isNotNull())
+    w_keys = w_k.select("_k").filter(F.col("_k").isNotNull()).distinct()
+    only_a = a_k.join(w_keys, "_k", "left_anti").select(*a_cols).unionByName(a.filter(F.col(f"`{key_ax}`").isNull()))
     w_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in w.schema.fields]
-    cols = [F.col(f"`{c}`") for c in w.columns] + [F.col(f"`{c}`") for c in a.columns]
-    right = only_a.select(*w_nulls, *[F.col(f"`{c}`") for c in a.columns])
-    return left.select(*cols).unionByName(right)
+    right = only_a.select(*w_nulls, *a_cols)
+    return left.select(*w_cols, *a_cols).unionByName(right)
 
 
 def fulfilment_columns(ax_pallet: Column, wms_pallet: Column, ax_date: Column, wms_date: Column):

@@ -9,11 +9,14 @@ than its number of periods downstream.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.config import SeriesConfig
-from ledgerspark.functions.dates import bin_start
+from ledgerspark.functions.dates import bin_number, bin_of_number, bin_start
 
 SPLIT = "split"
 IDX = "period_idx"
@@ -24,12 +27,87 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+LIMB_BITS = 50  # a limb and its product with a power of two are exact in a DOUBLE
+
+
+def limb_grid(least: float | None, most: float | None) -> list[float]:
+    """Powers of two, ``LIMB_BITS`` apart, whose integer multiples sum up to any DOUBLE between ``least`` and ``most`` in size: from the
+    top bit of the largest to the last bit of the smallest. Two or three for amounts, 42 for all DOUBLEs there are."""
+    if not most:
+        return [1.0]
+    top, last = math.frexp(most)[1], max(math.frexp(least)[1] - 53, -1074)
+    units = range(top - LIMB_BITS, last - LIMB_BITS, -LIMB_BITS)
+    return [math.ldexp(1.0, max(u, -1074)) for u in units] or [math.ldexp(1.0, last)]
+
+
+def stable_sum(df: DataFrame, keys, col: str) -> DataFrame:
+    """``df.groupBy(keys).agg(sum(col))`` of a DOUBLE column, with equal bits for any order of rows and any number of partitions.
+
+    Every value is cut into integers of ``LIMB_BITS`` bits on one grid for the whole column, without loss; the grid follows from
+    the largest and smallest size in it (one pass over the column, two numbers on the driver). Integers are summed
+    exactly, as decimals and map side first, and the limbs are put together at the end, smallest first. Non-finite values act
+    as in SUM."""
+    v = _q(col).cast("double")
+    finite = ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    size = F.when(finite & (v != 0), F.abs(v))
+    ends = df.agg(F.min(size).alias("least"), F.max(size).alias("most")).first()
+    grid = limb_grid(ends["least"], ends["most"])
+    limbs, step = [], df.withColumn("_rest", F.when(finite, v))
+    for i, unit in enumerate(grid):
+        # dividing by a power of two is exact, and so is what is left
+        limb = F.when(F.col("_rest") < 0, F.ceil(F.col("_rest") / unit)).otherwise(F.floor(F.col("_rest") / unit))
+        step = step.withColumn(f"_limb{i}", limb.cast("long"))
+        step = step.withColumn("_rest", F.col("_rest") - F.col(f"_limb{i}").cast("double") * unit)
+        limbs.append(F.sum(F.col(f"_limb{i}").cast("decimal(20,0)")).alias(f"_limb{i}"))
+    sums = step.groupBy(*keys).agg(*limbs, F.sum(F.when(~finite, v)).alias("_odd"))
+    total = F.lit(0.0)
+    for i in reversed(range(len(grid))):
+        total = total + F.col(f"_limb{i}").cast("double") * grid[i]
+    keep = [_q(k) for k in keys]
+    return sums.select(*keep, F.when(F.col("_odd").isNull(), total).when(F.col("_limb0").isNull(), F.col("_odd")).otherwise(total + F.col("_odd")).alias(col))
+
+
 def period_sums(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
-    """A5: sum per (series, period bin); NULL dimension or date rows are dropped."""
+    """A5: sum per (series, period bin); NULL dimension or date rows are dropped. ``cfg.stable_sums`` makes sums of DOUBLE (or
+    FLOAT) values independent of the order of rows; sums of integers and decimals always are."""
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
-    return (df.filter(_q(dim).isNotNull() & _q(date).isNotNull())
-            .select(_q(dim).alias(dim), bin_start(_q(date), cfg.freq).alias(date), _q(val).alias(val))
-            .groupBy(dim, date).agg(F.sum(_q(val)).alias(val)))
+    rows = (df.filter(_q(dim).isNotNull() & _q(date).isNotNull())
+            .select(_q(dim).alias(dim), bin_start(_q(date), cfg.freq).alias(date), _q(val).alias(val)))
+    if cfg.stable_sums and isinstance(rows.schema[val].dataType, (T.DoubleType, T.FloatType)):
+        return stable_sum(rows, [dim, date], val)
+    return rows.groupBy(dim, date).agg(F.sum(_q(val)).alias(val))
+
+
+def resample_segments(df: DataFrame, cfg: SeriesConfig, min_history: int | None = None, bins: int = 4096) -> DataFrame:
+    """``resample`` in segments of ``bins`` periods, so that one series of any length spreads over many tasks.
+
+    A period's number follows from its start, so a segment is a fixed range of numbers and a period's place in its series is its
+    number less the first one: no scan over a series. Segments without any row are made from the series' first and last number
+    (a row per series), and each segment fills its own gaps."""
+    dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
+    sums = period_sums(df, cfg)
+    zero = F.lit(0).cast(sums.schema[val].dataType)
+    number = bin_number(_q(date), cfg.freq)
+    held = (sums.select(_q(dim), number.alias("_k"), F.coalesce(_q(val), zero).alias("_v")).withColumn("_seg", F.floor(F.col("_k") / bins))
+            .groupBy(dim, "_seg").agg(F.array_sort(F.collect_list(F.struct("_k", "_v"))).alias("_rows")))
+    spans = (held.groupBy(dim).agg(F.min(F.col("_rows")[0]["_k"]).alias("_lo"), F.max(F.element_at("_rows", -1)["_k"]).alias("_hi"))
+             .withColumn(N_PERIODS, (F.col("_hi") - F.col("_lo") + 1).cast("int")))
+    if min_history:
+        spans = spans.filter(F.col(N_PERIODS) >= min_history)
+    axis = spans.withColumn("_seg", F.explode(F.sequence(F.floor(F.col("_lo") / bins), F.floor(F.col("_hi") / bins))))
+    # dealt out by segment whichever join follows: filling the gaps is the work
+    axis = axis.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _q(dim), "_seg")
+    seg = axis.join(held, [dim, "_seg"], "left")
+    start, stop = F.greatest("_lo", F.col("_seg") * bins), F.least("_hi", F.col("_seg") * bins + (bins - 1))
+    head = F.array(F.struct(start.alias("_k"), zero.alias("_v")))
+    rows = F.when(F.col("_rows").isNull(), head).when(F.col("_rows")[0]["_k"] > start, F.concat(head, "_rows")).otherwise(F.col("_rows"))
+    # each row is followed by the run of empty periods up to the next one
+    seg = seg.select(dim, "_lo", N_PERIODS, rows.alias("_rows"), stop.alias("_stop"))
+    runs = seg.select(dim, "_lo", N_PERIODS, F.explode(F.transform("_rows", lambda r, i: F.struct(
+        r["_k"].alias("_k"), r["_v"].alias("_v"), F.coalesce(F.get(F.col("_rows"), i + 1)["_k"] - 1, F.col("_stop")).alias("_to")))).alias("_run"))
+    rows = runs.select(dim, "_lo", N_PERIODS, "_run._k", "_run._v", F.explode(F.sequence("_run._k", "_run._to")).alias("_n"))
+    return rows.select(_q(dim), bin_of_number("_n", cfg.freq).alias(date), F.when(F.col("_n") == F.col("_k"), F.col("_v")).otherwise(zero).alias(val),
+                       (F.col("_n") - F.col("_lo")).cast("int").alias(IDX), F.col(N_PERIODS))
 
 
 def resample(df: DataFrame, cfg: SeriesConfig, min_history: int | None = None) -> DataFrame:
@@ -41,8 +119,12 @@ def resample(df: DataFrame, cfg: SeriesConfig, min_history: int | None = None) -
     series' next one, so the fill is linear in the periods and needs no join
     and no lookup. Short series are dropped before any row is generated (T2).
 
+    A task holds whole series; with ``cfg.segment_bins`` it holds that many bins of one (``resample_segments``).
+
     Output: dimension, date, value, ``period_idx``, ``n_periods``.
     """
+    if cfg.segment_bins:
+        return resample_segments(df, cfg, min_history, cfg.segment_bins)
     dim, date, val = cfg.dimension_col, cfg.date_col, cfg.value_col
     sums = period_sums(df, cfg)
     zero = F.lit(0).cast(sums.schema[val].dataType)

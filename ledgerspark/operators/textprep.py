@@ -80,12 +80,31 @@ def build_vocabulary(texts: DataFrame, id_col: str, text_col: str = "text") -> D
         "token", "n", (F.col("_off") + F.col("_pos")).cast("bigint").alias("token_id"))
 
 
+def dense_positions(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
+    """``df`` with each row's place, from 0, in the order of ``order`` (which should tell rows apart; ties take neighbouring places). Rows
+    are range-partitioned and sorted, written once to the shared checkpoint folder, and numbered by their place in the partition
+    plus the rows of earlier partitions (one row per partition)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mid = F.monotonically_increasing_id()
+    placed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.shiftright(mid, 33)).withColumn("_at", mid.bitwiseAND(F.lit((1 << 33) - 1))))
+    ensure_checkpoint_dir(df.sparkSession)
+    placed = placed.checkpoint(eager=True)
+    sizes = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return placed.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + F.col("_at")).drop("_pid", "_at", "_off")
+
+
 def tokenize(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "text",
-             max_length: int = MAX_LENGTH, pad_id: int | None = None) -> DataFrame:
+             max_length: int = MAX_LENGTH, pad_id: int | None = None, batch_rows: int | None = None) -> DataFrame:
     """L2 + L3: ``input_ids`` truncated to ``max_length`` and right-padded to
     the longest row of the dataset, ``attention_mask`` 1 on tokens and 0 on
     padding, ``labels`` = a copy of ``input_ids`` (padding not masked).
 
+    With ``batch_rows``, rows in the order of ``id_col`` are taken in batches of that many (the last may be shorter) and each
+    batch is padded to its own longest row, as a batched map over a data set does; ``batch`` numbers them from 0.
+
     Only the first ``max_length`` positions are joined to the vocabulary
     (truncation is the operator's own rule), so no group holds more than
     ``max_length`` tokens. The ``HEAD_TOKENS`` lowest ids, the most frequent
@@ -102,16 +121,21 @@ def tokenize(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "t
     ids = texts.select(id_col).join(per_text, id_col, "left").select(
         id_col, F.coalesce(F.transform("_p", lambda s: s["token_id"]), F.array().cast("array<bigint>"))
         .alias("_ids"))
-    ensure_checkpoint_dir(texts.sparkSession)
-    ids = ids.checkpoint(eager=True)  # read twice: for the longest row and for the output
-    # Dataset-wide scalars as uncorrelated scalar subqueries (evaluated once).
-    longest = ids.select(F.max(F.size("_ids"))).scalar()
+    more = []
+    if batch_rows:
+        ids = dense_positions(ids, id_col).withColumn("batch", F.floor(F.col("position") / batch_rows)).drop("position")
+        longest = ids.groupBy("batch").agg(F.max(F.size("_ids")).alias("_L"))
+        out, more = ids.join(longest, "batch"), ["batch"]
+    else:
+        ensure_checkpoint_dir(texts.sparkSession)
+        ids = ids.checkpoint(eager=True)  # read twice: for the longest row and for the output
+        # Dataset-wide scalars as uncorrelated scalar subqueries (evaluated once).
+        out = ids.withColumn("_L", ids.select(F.max(F.size("_ids"))).scalar())
     # pad token = eos; with no vocabulary entry of its own it takes the id after the last token
     pad = F.lit(pad_id).cast("bigint") if pad_id is not None else vocab.select(F.count(F.lit(1))).scalar()
-    out = ids.withColumn("_L", longest)
     n_pad = F.col("_L") - F.size("_ids")
     return out.select(
-        id_col,
+        id_col, *more,
         F.concat("_ids", F.array_repeat(pad, n_pad)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), n_pad)).alias("attention_mask"),
         F.concat("_ids", F.array_repeat(pad, n_pad)).alias("labels"),

@@ -36,6 +36,6 @@ def register(name: str, covers: tuple[str, ...] = (), oracle: str | None = None)
 def load_all():
     """Import every module that registers queries."""
     from ledgerspark.plans import (  # noqa: F401
-        q_series, q_warehouse, q_etl, q_text, q_models, q_io, q_loads,
+        q_series, q_warehouse, q_etl, q_text, q_models, q_io, q_loads, q_scale,
     )
     return QUERIES, ORACLES

@@ -35,7 +35,7 @@ def m1_prophet(spark, sf):
 
 
 _GRID_SQL = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)"
-                      for a, b, c in itertools.product(holt_winters.GRID_VALUES, repeat=3))
+                      for a, b, c in itertools.product(CFG_BRAND.smoothing_grid, repeat=3))
 
 
 _HW_SQL = f"""
