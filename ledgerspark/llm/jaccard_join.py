@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import (NULL_ID, flat, longs, lower_ascii, map_arrow, materialize, public_id, scramble, slices,
+from ledgerspark.llm.common import (NULL_ID, drop_table, flat, longs, lower_ascii, map_arrow, materialize, public_id, scramble, slices,
                                     without_copies, word_hashes, word_spans)
 from ledgerspark.llm.components import components
 
@@ -179,41 +179,57 @@ def _row_key() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
 
 
-def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_id: bool) -> DataFrame:
-    """ROW_KEY, n, least (the smallest ROW_KEY of the row's class, null for an empty set) for each row of ``docs``. Rows are
-    linked by their own texts; with ``by_id`` also the rows that share a doc_id which is not null."""
+def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_id: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """ROW_KEY, n, least (the smallest ROW_KEY of the row's class, null for an empty set) for each row of ``docs``, and the written
+    tables that this still reads. Rows are linked by their own texts; with ``by_id`` also the rows that share a doc_id which is
+    not null. Every other written table is dropped when its last reader has been written."""
+    written: dict[str, list[DataFrame]] = {}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        written.setdefault(name, []).append(materialize(df, name))
+        return written[name][-1]
+
+    def drop(*names: str) -> None:
+        for name in names:
+            for df in written.pop(name, []):
+                drop_table(df)
+
     spark = docs.sparkSession
     rows = docs.select(*_row_key(), F.coalesce("text", F.lit("")).alias("text"))
     levels = spark.sparkContext.broadcast(_levels(rows, words, sketch_bits).tobytes())
     bits = [f"b{i}" for i in range(BITMAP)]
-    sets = materialize(map_arrow(rows, _set_rows(words, threshold, levels), "did long, t1 long, t2 long, n int, s1 long, s2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in bits))
-                       .withColumn("p", F.xxhash64("prefix")), "sets")
+    sets = keep(map_arrow(rows, _set_rows(words, threshold, levels), "did long, t1 long, t2 long, n int, s1 long, s2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in bits))
+                .withColumn("p", F.xxhash64("prefix")), "sets")
     some = sets.filter("n > 0")
     # equal sets are one, numbered once; sets of equal size and prefix are one group, named by its smallest number
     reps = some.groupBy("n", "s1", "s2", "p").agg(F.min(F.struct(*ROW_KEY)).alias("least"), *[F.min(b).alias(b) for b in bits])
-    reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
+    reps = keep(reps.withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
     named = reps.groupBy("n", "p").agg(F.min("rep").alias("g"))
     groups = some.groupBy("n", "p").agg(F.any_value("prefix").alias("prefix")).join(named, ["n", "p"])
-    members = materialize(reps.join(named, ["n", "p"]).drop("p"), "members")
+    members = keep(reps.join(named, ["n", "p"]).drop("p"), "members")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     postings = groups.select(F.explode("prefix").alias("token"), "n", "g").repartitionByRange(parts, "token", "n", "g").sortWithinPartitions("token", "n", "g")
-    lists = materialize(map_arrow(postings, _neighbours, "token long, n int, g long, pg long, pn int"), "shared-shingles")
+    lists = keep(map_arrow(postings, _neighbours, "token long, n int, g long, pg long, pn int"), "shared-shingles")
     prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
-    clean = materialize(lists.groupBy("g", "n").agg((F.count("*") / F.any_value(prefix)).alias("clean")), "cleanness")
+    sets = keep(sets.select(*ROW_KEY, "n", "s1", "s2"), "row-sets")  # all that is read of them from here on
+    drop("sets", "distinct-sets")
+    clean = keep(lists.groupBy("g", "n").agg((F.count("*") / F.any_value(prefix)).alias("clean")), "cleanness")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """The linked ones of ``pairs`` (x, y). Texts are read for pairs that size and bitmaps leave over."""
-        pairs = materialize(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).filter("x <> y").distinct(), "pairs")
+        pairs = keep(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).filter("x <> y").distinct(), "pairs")
         a = members.select(F.col("rep").alias("x"), F.col("n").alias("nx"), *[F.col(c).alias("x" + c) for c in bits])
         b = members.select(F.col("rep").alias("y"), F.col("n").alias("ny"), *[F.col(c).alias("y" + c) for c in bits])
-        near = materialize(pairs.join(a, "x").join(b, "y").filter(_near("nx", "ny", "xb{}", "yb{}", threshold)).select("x", "y").distinct(), "near-pairs")
+        near = keep(pairs.join(a, "x").join(b, "y").filter(_near("nx", "ny", "xb{}", "yb{}", threshold)).select("x", "y").distinct(), "near-pairs")
         ids = near.select(F.col("x").alias("rep")).unionByName(near.select(F.col("y").alias("rep"))).distinct()
-        ids = materialize(members.join(ids, "rep").select("rep", "least.*"), "near-ids")
+        ids = keep(members.join(ids, "rep").select("rep", "least.*"), "near-ids")
         # a set is read once, from one of the rows that agree in its key
         texts = rows.join(ids, list(ROW_KEY)).groupBy("rep").agg(F.any_value("text").alias("text"))
         both = (near.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")
                 .join(texts.select(F.col("rep").alias("y"), F.col("text").alias("ty")), "y"))
-        return materialize(map_arrow(both, _linked(words, threshold), "x long, y long").distinct(), name)
+        links = keep(map_arrow(both, _linked(words, threshold), "x long, y long").distinct(), name)
+        drop("pairs", "near-pairs", "near-ids", "mixed-tokens", "mixed-shingles", "hubs")
+        return links
 
     def nearest(pairs: DataFrame, most: int) -> DataFrame:
         """Per left side, the partners it meets most often."""
@@ -224,7 +240,8 @@ def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_i
     def classed(links: DataFrame | None) -> DataFrame:
         own = members if links is None else members.join(components(links), F.col("rep") == F.col("id"), "left")
         cls = F.col("rep") if links is None else F.coalesce("component", "rep")
-        return materialize(own.select("rep", "g", "n", cls.alias("cls")), "classes")
+        drop("classes")
+        return keep(own.select("rep", "g", "n", cls.alias("cls")), "classes")
 
     def mixed(classes: DataFrame) -> DataFrame:
         """The lists' rows by class, of shingles that more than one class has."""
@@ -232,11 +249,11 @@ def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_i
         entries = lists.select("token", "n", "g").join(ends, ["g", "n"])
         apart = entries.groupBy("token").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a < b").select("token")
         # written: Spark can split a frequent shingle's rows against a plain table
-        return materialize(entries.join(materialize(apart, "mixed-tokens"), "token", "left_semi"), "mixed-shingles")
+        return keep(entries.join(keep(apart, "mixed-tokens"), "token", "left_semi"), "mixed-shingles")
 
     def to_hub(entries: DataFrame) -> DataFrame:
         best = F.max(F.struct("clean", F.col("rep").alias("y"), F.col("cls").alias("ycls"), F.col("n").alias("ny"))).alias("hub")
-        hubs = materialize(entries.join(clean, ["g", "n"]).groupBy("token").agg(best).select("token", "hub.y", "hub.ycls", "hub.ny"), "hubs")
+        hubs = keep(entries.join(clean, ["g", "n"]).groupBy("token").agg(best).select("token", "hub.y", "hub.ycls", "hub.ny"), "hubs")
         sized = 100 * F.least("n", "ny") >= threshold * F.greatest("n", "ny")
         return entries.join(hubs, "token").filter((F.col("cls") != F.col("ycls")) & sized).select(F.col("rep").alias("x"), "y")
 
@@ -265,23 +282,25 @@ def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_i
     pairs = (entry_pairs.join(classes.withColumnRenamed("rep", "x"), ["g", "n", "cls"])
              .join(classes.select(F.col("rep").alias("y"), F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("cls").alias("cls2")), ["g2", "n2", "cls2"]))
     links = links.unionByName(verified(pairs.select("x", "y"), "links-rest"))
+    drop("classes", "shared-shingles", "cleanness")
     known = sets.select(*ROW_KEY, "n", "s1", "s2").join(members.select("n", "s1", "s2", "rep", "least"), ["n", "s1", "s2"], "left").drop("s1", "s2")
     if by_id:
         repeated = sets.filter(F.col("did") != NULL_ID).groupBy("did").agg(F.count("*").alias("rows")).filter("rows > 1")
-        repeated = materialize(repeated.select("did"), "repeated-ids")
+        repeated = keep(repeated.select("did"), "repeated-ids")
         if not repeated.isEmpty():
             # the sets of one doc_id hang together, and its empty ones go with them
-            known = materialize(known, "known-sets")
-            own = materialize(known.join(repeated, "did").filter("rep IS NOT NULL").select("did", "rep").distinct(), "repeated-sets")
+            known = keep(known, "known-sets")
+            own = keep(known.join(repeated, "did").filter("rep IS NOT NULL").select("did", "rep").distinct(), "repeated-sets")
             first = own.groupBy("did").agg(F.min("rep").alias("first"))
             links = links.unionByName(own.join(first, "did").select(F.col("rep").alias("x"), F.col("first").alias("y")))
             first = first.join(members.select(F.col("rep").alias("first"), F.col("least").alias("first_least")), "first")
             known = (known.join(first, "did", "left").withColumn("rep", F.coalesce("rep", "first"))
                      .withColumn("least", F.coalesce("least", "first_least")).drop("first", "first_least"))
-    found = materialize(components(links).withColumnRenamed("id", "rep"), "components")
+    found = keep(components(links).withColumnRenamed("id", "rep"), "components")
     smallest = found.join(members.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("class_least"))
     found = found.join(smallest, "component").select("rep", "class_least")
-    return known.join(found, "rep", "left").select(*ROW_KEY, "n", F.coalesce("class_least", "least").alias("least"))
+    out = known.join(found, "rep", "left").select(*ROW_KEY, "n", F.coalesce("class_least", "least").alias("least"))
+    return out, [df for tables in written.values() for df in tables]
 
 
 def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -292,7 +311,7 @@ def jaccard_classes(docs: DataFrame, words: int = 4, threshold: int = 85, sketch
     doc_id reachable by links, its own included; a null doc_id counts as smaller than any other and makes the component_id
     null. Rows that repeat a doc_id are one document with the sets of all its rows, each row with its own n_shingles; rows
     with a null doc_id are documents of their own. Empty table: empty result; other columns are ignored."""
-    out = _classes(docs, words, threshold, sketch_bits, True)
+    out, _ = _classes(docs, words, threshold, sketch_bits, True)
     return out.select(public_id("did").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                       public_id(F.coalesce("least.did", "did")).alias("component_id"))
 
@@ -301,8 +320,11 @@ def one_of_each_class(docs: DataFrame, words: int = 5, threshold: int = 80) -> D
     """One row of each class of near copies, that of the smallest doc_id (null first), all columns unchanged; rows without words
     stay. Classes are those of rows: rows that share a doc_id, or have none, are linked by their own texts only. Of rows that
     repeat doc_id and text one stays."""
-    rows = _classes(docs, words, threshold, SKETCH_BITS, False).filter("least IS NOT NULL")
+    rows, written = _classes(docs, words, threshold, SKETCH_BITS, False)
+    rows = rows.filter("least IS NOT NULL")
     keys = rows.groupBy(*ROW_KEY).agg(F.any_value("least").alias("least"), F.count("*").alias("rows"))
     first = F.struct(*ROW_KEY) == F.col("least")
     odd = materialize(keys.filter(~first | (F.col("rows") > 1)).select(*ROW_KEY, first.alias("tied")), "dropped")
+    for df in written:
+        drop_table(df)
     return without_copies(docs, odd, _row_key())
