@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ledgerspark.session import scratch_table_path, ship_package, table
 
@@ -87,19 +87,52 @@ def public_id(col: str | Column) -> Column:
     return F.when(c != NULL_ID, c)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, whatever the case of its letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def named(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, names with dots and blanks too."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, MapType):
+        return True
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, StructType) and any(_has_map(f.dataType) for f in kind)
+
+
+def orderable(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` in a form that can be hashed and ordered: those that hold maps as JSON text."""
+    return [F.to_json(F.struct(F.col(quoted(f.name)))) if _has_map(f.dataType) else F.col(quoted(f.name)) for f in df.schema]
+
+
 def without_copies(docs: DataFrame, odd: DataFrame, key: list[Column]) -> DataFrame:
     """The rows of ``docs`` without those whose ``key`` (named columns, never null) is in the written table ``odd``; but of the
     rows of a key marked ``tied`` there one stays, the smallest by all columns."""
-    names = docs.columns
-    on = [f"_k{i}" for i in range(len(key))]
-    rows = docs.select("*", *[c.alias(n) for c, n in zip(key, on)])
-    odd = odd.toDF(*on, "_tied")
-    rest = rows.join(odd, on, "left_anti").select(*names)
-    tied = odd.filter("_tied")
+    *on, mark, row = fresh(docs, *[f"_k{i}" for i in range(len(key))], "_tied", "_row")
+    rows = docs.select(*named(docs), *[c.alias(n) for c, n in zip(key, on)])
+    odd = odd.toDF(*on, mark)
+    rest = rows.join(odd, on, "left_anti").select(*named(docs))
+    tied = odd.filter(F.col(mark))
     if tied.isEmpty():
         return rest
-    one = rows.join(tied.select(*on), on, "left_semi").groupBy(*on).agg(F.min(F.struct(*names)).alias("_row")).select("_row.*")
-    return rest.unionByName(one)
+    least = F.min_by(F.struct(*named(docs)), F.struct(*orderable(docs))).alias(row)
+    one = rows.join(tied.select(*on), on, "left_semi").groupBy(*on).agg(least)
+    return rest.union(one.select(*[F.col(row)[c].alias(c) for c in docs.columns]))
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

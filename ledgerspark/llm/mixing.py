@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import WORD, materialize
+from ledgerspark.llm.common import WORD, fresh, materialize, named, orderable
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -105,13 +105,13 @@ def emit(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
     """The mix itself: the rows of ``docs``, each as often as ``mix`` says of this very row, all columns unchanged.
     Null and repeated doc_ids are rows like any other. Rows that agree in source, size and doc_id take their ranks by a
     hash of all columns, so that the result does not depend on partitions; between identical rows the order is of no account."""
-    tie = F.xxhash64(*docs.columns).alias("_tie")
+    size, tie, row, copies, n = fresh(docs, "_size", "_tie", "_row", "_copies", "_n")
     # written once: a row's number and its columns stay together, whatever is recomputed later
-    rows = materialize(docs.select("*", _size().alias("_size"), tie, F.monotonically_increasing_id().alias("_row")), "sizes")
-    sizes = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("_size").alias("size"), "_tie", "_row")
-    plan = _drawn(sizes, weights, share, most, seed, "_tie", "_row").filter("copies > 0").select("_row", "copies")
-    return (rows.join(plan, "_row").withColumn("_n", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-            .select(*docs.columns))
+    rows = materialize(docs.select(*named(docs), _size().alias(size), F.xxhash64(*orderable(docs)).alias(tie), F.monotonically_increasing_id().alias(row)), "sizes")
+    sizes = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col(size).alias("size"), F.col(tie).alias("tie"), F.col(row).alias("row"))
+    plan = _drawn(sizes, weights, share, most, seed, "tie", "row").filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copies))
+    return (rows.join(plan, row).withColumn(n, F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int"))))
+            .select(*named(docs)))
 
 
 _RATIO = f"""
