@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
 from ledgerspark.llm.catalog import tokenizer
-from ledgerspark.llm.common import documents, materialize
+from ledgerspark.llm.common import documents, drop_table, materialize
 from ledgerspark.session import table
 
 
@@ -39,13 +39,18 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [("toxicity", toxic_stage), ("exact_dedup", exact_stage), ("ngram_jaccard_join", near_stage),
           ("mixing", mix_stage), ("bpe", encode_stage)]
 
-#: The first and last stages are a trained classifier and a BPE encoder: not SQL. Tests compare with brute force.
+#: The first and last stages are a trained classifier and a BPE encoder: not SQL. ``tests/llm/test_pipeline.py`` holds every stage
+#: against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each result is written as Parquet and read again as the next stage's documents."""
     docs = documents(spark, sf_dir)
+    before = None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            drop_table(before)  # its only reader is written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
