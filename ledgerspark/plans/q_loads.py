@@ -13,11 +13,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerspark.config import SeriesConfig
+from ledgerspark.functions.numeric import text_to_double
 from ledgerspark.models import runner
 from ledgerspark.operators import control, recon, validate
 from ledgerspark.plans.catalog import ORACLES, register
 from ledgerspark.plans.q_etl import _LOGS_SQL, _new_runs, run_logs
-from ledgerspark.plans.q_series import _BRAND_SUMS, CFG_BRAND, brand_input
+from ledgerspark.plans.q_series import _BRAND_SUMS, CFG_BRAND, brand_input, wide_sales_sheet
 from ledgerspark.session import scratch_table_path, table
 from ledgerspark.sinks import archive, files as fsink, tables as tsink
 from ledgerspark.sinks.publish import PublishedTables, StaleVersion
@@ -136,6 +137,16 @@ def m7_published_tables(spark, sf):
     return store.report(spark).filter("table_name <> 'brand_forecast_error'")
 
 
+# --- S5: the wide sheet from a file ---------------------------------------------------------------
+
+@register("s5_wide_sheet_from_file", ("S5", "R1"), oracle=ORACLES["r1_wide_to_long"])
+def s5_wide_sheet_from_file(spark, sf):
+    """The wide monthly sheet exported as a file, read back as text cells and reshaped."""
+    [path] = fsink.write_csv(wide_sales_sheet(spark, sf), _run_dir(spark, "s5"), "sheet.csv")
+    long = validate.reshape_wide(fsrc.read_wide_sheet(spark, path), "Material", 9, "Date", "Sales")
+    return long.withColumn("Sales", text_to_double("Sales"))
+
+
 # --- S4: no line lost -----------------------------------------------------------------------------
 
 _KIND = "(l_orderkey * 7 + l_linenumber) % 40"

@@ -16,7 +16,9 @@ from ledgerspark.operators import series, validate
 from ledgerspark.plans.catalog import register
 from ledgerspark.plans.q_series import _BRAND_SUMS, CFG_BRAND, brand_input, wide_sales_sheet
 from ledgerspark.session import scratch_table_path, table
-from ledgerspark.sinks.tables import ParquetTarget
+from ledgerspark.sinks.files import write_csv
+from ledgerspark.sinks.publish import PublishedTables
+from ledgerspark.sources.files import read_wide_sheet
 
 
 CFG_BRAND_FUTURE = replace(CFG_BRAND, test_mode=False)
@@ -217,19 +219,21 @@ def t12_model_errors_user_daily(spark, sf):
 
 # ---- composed forecasts ------------------------------------------------------------------------
 
-CFG_SHEET = SeriesConfig("Material", "Date", "Sales", "MS", min_history=24, test_size=12)
-CFG_DAILY = SeriesConfig("Product", "Date", "Amount ($)", "D", min_history=24, test_size=12)
-CFG_RETAIL = SeriesConfig("ITEM CODE", "Date", "RETAIL SALES", "D", min_history=24, test_size=12)
+# values arrive as text and become DOUBLE: their sums must not depend on how the rows lie
+CFG_SHEET = SeriesConfig("Material", "Date", "Sales", "MS", min_history=24, test_size=12, stable_sums=True)
+CFG_DAILY = SeriesConfig("Product", "Date", "Amount ($)", "D", min_history=24, test_size=12, stable_sums=True)
+CFG_RETAIL = SeriesConfig("ITEM CODE", "Date", "RETAIL SALES", "D", min_history=24, test_size=12, stable_sums=True)
 
 
 @register("d11_monthly_sales_forecast", ("D11", "S5", "R1", "R4", "M7", "K1", "T11"))
 def d11_monthly_sales_forecast(spark, sf):
-    """Wide sheet -> long (R1) -> validated (R4) -> six models per Material ->
+    """Wide sheet from a file (S5) -> long (R1) -> validated (R4) -> six models per Material ->
     source, rejected rows and the four result tables loaded (K1); returns the
     loaded forecast table."""
-    long = validate.reshape_wide(wide_sales_sheet(spark, sf), "Material", 9, "Date", "Sales")
-    long = long.withColumn("Sales", F.col("Sales").cast("string"))  # sheet cells arrive as text
-    target = ParquetTarget(scratch_table_path(spark, f"d11/{uuid.uuid4().hex[:12]}"))
+    base = scratch_table_path(spark, f"d11/{uuid.uuid4().hex[:12]}")
+    [path] = write_csv(wide_sales_sheet(spark, sf), f"{base}/source_file/monthly_sales", "sheet.csv")
+    long = validate.reshape_wide(read_wide_sheet(spark, path), "Material", 9, "Date", "Sales")
+    target = PublishedTables(f"{base}/stage")
     runner.forecast_and_load(long, CFG_SHEET, "monthly_sales", target)
     out = target.read(spark, "monthly_sales_forecast")
     return out.select("Date", F.round("Sales", 4).alias("Sales"), "Material", "Model")
@@ -237,7 +241,7 @@ def d11_monthly_sales_forecast(spark, sf):
 
 def _loaded(spark, raw, cfg, script):
     """Validate, forecast with Prophet and load all result tables (K1); the loaded forecast."""
-    target = ParquetTarget(scratch_table_path(spark, f"{script}/{uuid.uuid4().hex[:12]}"))
+    target = PublishedTables(scratch_table_path(spark, f"{script}/{uuid.uuid4().hex[:12]}"))
     runner.forecast_and_load(raw, cfg, script, target, ["Prophet"])
     return target.read(spark, f"{script}_forecast")
 

@@ -85,9 +85,12 @@ def _ddl(schema: StructType) -> str:
 
 def read_wide_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema=None) -> DataFrame:
     """S5 (re-aimed): the monthly sheet exported as CSV or Parquet; column
-    order is kept, which R1 relies on."""
+    order is kept, which R1 relies on. Without a ``schema`` the cells of a CSV are
+    text, as R4 takes them: no pass over the file to guess types."""
     if fmt == "parquet":
         return spark.read.parquet(path)
+    if schema is None:
+        return spark.read.option("header", True).csv(path)
     return read_delimited(spark, path, schema)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 URL_TEMPLATES = {
     "MYSQL": "jdbc:mysql://{host}:{port}/{database}",
     "POSTGRES": "jdbc:postgresql://{host}:{port}/{database}",
-    "MSSQL": "jdbc:sqlserver://{host}:{port};databaseName={database};encrypt=false",
+    "MSSQL": "jdbc:sqlserver://{host}:{port};databaseName={database}",
     "SNOWFLAKE": "jdbc:snowflake://{account}.snowflakecomputing.com/?db={database}&warehouse={warehouse}",
     "ORACLE": "jdbc:oracle:thin:@//{host}:{port}/{database}",
 }
@@ -30,15 +30,35 @@ DRIVERS = {
 }
 
 
+# Settings that go into the URL where they are given: how they are written, and their names.
+OPTIONAL = {
+    "MSSQL": (";{}={}", ("encrypt", "trustServerCertificate", "integratedSecurity")),
+    "SNOWFLAKE": ("&{}={}", ("schema", "role")),
+}
+OTHER_NAMES = {"dbname": "database", "server": "host", "username": "user"}
+PORTS = {"MYSQL": 3306, "POSTGRES": 5432, "MSSQL": 1433, "ORACLE": 1521}
+
+
 def jdbc_options(kind: str, config: dict) -> dict:
-    """S3: connection options for a database kind; an unknown kind raises."""
+    """S3: connection options for a database kind; an unknown kind raises.
+
+    ``dbname``, ``server`` and ``username`` may stand for ``database``, ``host`` and ``user``; a port left out is the kind's own. The
+    settings of ``OPTIONAL`` (encryption, Snowflake's schema and role) are passed on as given; what is not given is left to the driver."""
     k = kind.upper()
     if k not in URL_TEMPLATES:
         raise ValueError(f"unknown database kind {kind!r}; expected one of {sorted(URL_TEMPLATES)}")
+    config = {OTHER_NAMES.get(name, name): value for name, value in config.items()}
     try:
-        url = URL_TEMPLATES[k].format(**config)
+        url = URL_TEMPLATES[k].format(**({"port": PORTS[k]} if k in PORTS else {}) | config)
     except KeyError as e:
         raise ValueError(f"missing connection setting {e.args[0]!r} for {k}") from None
+    form, names = OPTIONAL.get(k, ("", ()))
+    for name in names:
+        if config.get(name) is not None:
+            value = str(config[name]).lower() if isinstance(config[name], bool) else str(config[name])
+            if any(c in value for c in ";&=?{}"):
+                raise ValueError(f"setting {name!r} may not hold {value!r}")
+            url += form.format(name, value)
     opts = {"url": url, "driver": DRIVERS[k]}
     for key in ("user", "password"):
         if key in config:

@@ -18,6 +18,13 @@ def test_jdbc_options_and_binding():
         jdbc.jdbc_options("sqlite", {})
     with pytest.raises(ValueError, match="missing connection setting"):
         jdbc.jdbc_options("POSTGRES", {"host": "h"})
+    assert jdbc.jdbc_options("mssql", {"server": "h", "database": "d", "encrypt": True})["url"] == "jdbc:sqlserver://h:1433;databaseName=d;encrypt=true"
+    assert jdbc.jdbc_options("mssql", {"host": "h", "port": 9, "database": "d"})["url"] == "jdbc:sqlserver://h:9;databaseName=d"
+    assert jdbc.jdbc_options("postgres", {"host": "h", "dbname": "d", "username": "u"}) == {"url": "jdbc:postgresql://h:5432/d", "driver": "org.postgresql.Driver", "user": "u"}
+    flake = {"account": "a", "database": "d", "warehouse": "w", "schema": "s", "role": "r"}
+    assert jdbc.jdbc_options("snowflake", flake)["url"].endswith("/?db=d&warehouse=w&schema=s&role=r")
+    with pytest.raises(ValueError, match="may not hold"):
+        jdbc.jdbc_options("snowflake", flake | {"role": "r&x=1"})
     sql = jdbc.bind_parameters("SELECT * FROM t WHERE d BETWEEN %s AND %s AND n = %s AND s LIKE 'a%%'",
                                (dt.datetime(2024, 1, 1), dt.date(2024, 1, 31), "O'Brien"))
     assert sql == ("SELECT * FROM t WHERE d BETWEEN '2024-01-01 00:00:00.000' AND '2024-01-31' "
