@@ -37,6 +37,7 @@ from ledgerspark.llm.components import components
 SKETCH_BITS = 20
 BLOCKS = 64
 BITMAP = 8  # 64-bit words
+TEXT_BUCKETS = 1 << 20  # bounds a broadcast list of bucket numbers
 #: A row is its doc_id and two hashes of its text; rows that agree in these are one text stored several times.
 ROW_KEY = ("did", "t1", "t2")
 
@@ -223,8 +224,11 @@ def _classes(docs: DataFrame, words: int, threshold: int, sketch_bits: int, by_i
         near = keep(pairs.join(a, "x").join(b, "y").filter(_near("nx", "ny", "xb{}", "yb{}", threshold)).select("x", "y").distinct(), "near-pairs")
         ids = near.select(F.col("x").alias("rep")).unionByName(near.select(F.col("y").alias("rep"))).distinct()
         ids = keep(members.join(ids, "rep").select("rep", "least.*"), "near-ids")
+        # texts whose key falls into no bucket of a key wanted are not moved; there are ``TEXT_BUCKETS`` buckets at most
+        bucket = F.pmod("t1", F.lit(TEXT_BUCKETS))
+        wanted = rows.withColumn("bucket", bucket).join(F.broadcast(ids.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi")
         # a set is read once, from one of the rows that agree in its key
-        texts = rows.join(ids, list(ROW_KEY)).groupBy("rep").agg(F.any_value("text").alias("text"))
+        texts = wanted.groupBy(*ROW_KEY).agg(F.any_value("text").alias("text")).join(ids, list(ROW_KEY)).select("rep", "text")
         both = (near.join(texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x")
                 .join(texts.select(F.col("rep").alias("y"), F.col("text").alias("ty")), "y"))
         links = keep(map_arrow(both, _linked(words, threshold), "x long, y long").distinct(), name)
