@@ -226,18 +226,29 @@ def r5_clean_scores(spark, sf):
 
 # ---- R1: wide sheet -> long ---------------------------------------------------------------------
 
+ROWS_A_TASK = 500_000
+
+
 def wide_sales_sheet(spark, sf):
     """A wide monthly sheet derived from the tables: nine leading columns
-    (Material among them), then one column per month present in lineitem."""
+    (Material among them), then one column per month present in lineitem. Its tasks grow in number and not in size:
+    about ``ROWS_A_TASK`` lineitem rows each, all of a part in one."""
     li, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
-    monthly = li.select("l_partkey", F.date_format("l_shipdate", "yyyy-MM-01").alias("m"),
-                        F.col("l_quantity").cast("decimal(18,2)").alias("q"))
-    months = [r[0] for r in monthly.select("m").distinct().orderBy("m").collect()]  # bounded: one per month
-    wide = monthly.groupBy("l_partkey").pivot("m", months).agg(F.sum("q").cast("double"))
+    month = F.coalesce(F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1, F.lit(-1))
+    monthly = li.select("l_partkey", month.alias("m"), F.col("l_quantity").cast("decimal(18,2)").alias("q"))
+    counted = {r.m: r.n for r in monthly.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}  # bounded: one per month
+    months = sorted(counted)
+    n = max(spark.sparkContext.defaultParallelism, -(-sum(counted.values()) // ROWS_A_TASK))
+    sums = monthly.repartition(n, "l_partkey").groupBy("l_partkey", "m").agg(F.sum("q").cast("double").alias("v"))
+    # a part's cells are one map until its row is named: a pivot holds full rows of months of every part in each task
+    cells = sums.groupBy("l_partkey").agg(F.map_from_entries(F.collect_list(F.struct("m", "v"))).alias("cells"))
     lead = part.select(
         "p_partkey", "p_name", F.col("p_brand").alias("Material"), "p_type", "p_size", "p_retailprice",
         F.lit("PL01").alias("Plant"), F.lit("EA").alias("Unit"), F.lit("USD").alias("Currency"))
-    return lead.join(wide, lead.p_partkey == wide.l_partkey, "left").drop("l_partkey")
+    row = F.transform(F.array(*map(F.lit, months)), lambda m: F.col("cells")[m])
+    names = ["null" if m < 0 else f"{m // 12:04d}-{m % 12 + 1:02d}-01" for m in months]
+    return (lead.join(cells, lead.p_partkey == cells.l_partkey, "left").select(*lead.columns, row.alias("row"))
+            .select(*lead.columns, *[F.get("row", F.lit(i)).alias(name) for i, name in enumerate(names)]))
 
 
 @register("r1_wide_to_long", ("R1", "S5"), oracle="""

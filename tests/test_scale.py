@@ -229,3 +229,29 @@ def test_money_is_rounded_once(spark):
     assert {r.x: r.y for r in df.withColumn("y", round_money("x")).collect()} == cases
     odd = spark.createDataFrame([(None,), (float("inf"),)], "x double").withColumn("y", round_money("x")).collect()
     assert [r.y for r in odd] == [None, float("inf")]
+
+
+# --- R1, S5: the wide sheet ---------------------------------------------------------------------
+
+def test_wide_sheet_is_dealt_by_part_in_tasks_of_bounded_rows(spark, tmp_dir, monkeypatch):
+    from ledgerspark.plans import q_series
+
+    lines = [(p, dt.datetime(2020 + m // 12, m % 12 + 1, 3), float(p + m)) for p in range(1, 31) for m in range(p % 5, 20, 3)]
+    lines += [(7, None, 2.0), (7, None, 3.0), (None, dt.datetime(2020, 1, 1), 9.0), (8, dt.datetime(2020, 1, 5), None), (99, dt.datetime(2020, 1, 5), 1.0)]
+    spark.createDataFrame(lines, "l_partkey long, l_shipdate timestamp, l_quantity double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    parts = [(p, "n", f"b{p}", "t", 1, 1.0) for p in [*range(1, 31), 31, 7, None]]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_dir}/part.parquet")
+
+    monkeypatch.setattr(q_series, "ROWS_A_TASK", 10)
+    sheet = q_series.wide_sales_sheet(spark, tmp_dir)
+    plan = sheet._jdf.queryExecution().optimizedPlan().toString()
+    assert "pivotfirst" not in plan and "RepartitionByExpression [l_partkey#" in plan and f"], {-(-len(lines) // 10)}" in plan
+
+    cells = Counter()
+    for p, d, q in lines:
+        if q is not None:
+            cells[p, d.strftime("%Y-%m-01") if d else "null"] += q
+    names = ["null", *sorted({d.strftime("%Y-%m-01") for _, d, _ in lines if d})]
+    assert sheet.columns[9:] == names
+    got = Counter((r.p_partkey, *[r[n] for n in names]) for r in sheet.collect())
+    assert got == Counter((p[0], *[cells.get((p[0], n)) if p[0] is not None else None for n in names]) for p in parts)
