@@ -239,3 +239,25 @@ def test_encoders_equal_the_library(text):
         ids = np.frombuffer(encode(path).encode([text])[0], "<u4").tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids
     assert bpe.codec(tokenizer("word_bpe_49k.json")).decode(np.array([320, 49407])).decode() == Tokenizer.from_file(tokenizer("word_bpe_49k.json")).decode([320, 49407], skip_special_tokens=False)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """More labelled rows than training starts with: all others move the model too, whatever their order and partitions."""
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [(i, f"{words[i % 4]} text {words[(i // 4) % 3]} {'vile' if i % 5 == 0 else 'mild'} {i % 7}", "en" if i % 2 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)] + [(999, 1)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "PART_ROWS", 64, raising=False)
+    model = toxicity.train(docs, labels, most_each=20, holdout=None)
+    out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(out[i].rejected == (i % 5 == 0) for i in range(400))
+    again = toxicity.train(docs.repartition(7), labels.repartition(5), most_each=20, holdout=None)
+    assert (again.slope, again.shift, again.thresholds) == (model.slope, model.shift, model.thresholds) and np.array_equal(again.embedding, model.embedding)
+    seen = 0
+    for i in range(3, 60, 8):  # one row's text at a time becomes another
+        other = docs.withColumn("text", F.when(F.col("doc_id") == i, "odd words here").otherwise(F.col("text")))
+        changed = toxicity.train(other, labels, most_each=20, holdout=None)
+        seen += (changed.slope, changed.shift) != (model.slope, model.shift) or not np.array_equal(changed.embedding, model.embedding)
+        if seen >= 3:
+            break
+    assert seen >= 3
