@@ -129,8 +129,12 @@ def _split_hot(w: DataFrame, a: DataFrame, most: int) -> tuple[DataFrame, DataFr
     return cut(w, "_i", "_j", "_is", "_js"), cut(a, "_j", "_i", "_js", "_is").drop("_hot")
 
 
+#: Rows of a key on one side that one task pairs: Spark by itself cuts a key only by its size in bytes, which says little of its pairs.
+MOST_OF_A_KEY = 20_000
+
+
 def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: str = "ax_key", rule: str = "exact",
-              split_rows: int | None = None) -> DataFrame:
+              split_rows: int | None = MOST_OF_A_KEY) -> DataFrame:
     """(wms LEFT JOIN ax) UNION (ax LEFT JOIN wms) on the key, DISTINCT. Keys are compared by ``rule`` (see ``key_by``); rows keep
     their keys as they are.
 
@@ -144,8 +148,8 @@ def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: s
     which it cannot do for a full outer join. No final DISTINCT is needed: the
     three parts are disjoint and each is already distinct.
 
-    AQE splits one side only. With ``split_rows``, a key that has more rows than that on either side is cut on both, and its
-    pairs spread over as many tasks as there are pairs of parts (``_split_hot``).
+    AQE splits one side only, and by bytes. A key that has more rows than ``split_rows`` on either side is cut on both, and its
+    pairs spread over as many tasks as there are pairs of parts (``_split_hot``); None leaves all keys whole.
     """
     w, a = wms.distinct(), ax.distinct()
     compared = key_by(rule)

@@ -83,7 +83,9 @@ def _sides(spark, sf):
     k = F.col("l_orderkey")
     key = (F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string")).when(k % 3 == 0, "HOT")
            .when(k % 2 == 0, F.concat(F.lit("k"), k.cast("string"))).otherwise(F.concat(F.lit("K"), k.cast("string"))))
-    wms = table(spark, sf, "lineitem").filter((k % 3 != 0) | (F.col("l_linenumber") == 1)).select(key.alias("wms_key"), k.alias("w_order"), F.col("l_linenumber").alias("w_line"))
+    wms = (table(spark, sf, "lineitem").filter((k % 3 != 0) | (F.col("l_linenumber") == 1))
+           .select(key.alias("wms_key"), k.alias("w_order"), F.col("l_linenumber").alias("w_line"))
+           .withColumn("w_hot", F.coalesce(F.lower("wms_key") == "hot", F.lit(False))))  # once a row, not once a pair
     o = F.col("o_orderkey")
     ax_key = F.when(o % 41 == 0, "hot").when(o % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("K"), o.cast("string")))
     return wms, table(spark, sf, "orders").select(ax_key.alias("ax_key"), o.alias("a_order"))
@@ -91,10 +93,11 @@ def _sides(spark, sf):
 
 def _summed(rows):
     """The reconciled rows by kind of match, with sums that any wrong, lost or repeated pair changes."""
-    kind = F.concat(F.when(F.col("w_order").isNull(), "-").otherwise("w"), F.when(F.col("a_order").isNull(), "-").otherwise("a"),
-                    F.when(F.lower("wms_key") == "hot", " hot").otherwise(""))
-    return rows.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("w_order").alias("w_sum"), F.sum("a_order").alias("a_sum"),
-                                                F.sum(F.col("w_order") % 1009 * (F.col("a_order") % 1013)).alias("pair_sum"))
+    by = [F.col("w_order").isNull().alias("no_w"), F.col("a_order").isNull().alias("no_a"), F.coalesce("w_hot", F.lit(False)).alias("hot")]
+    sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("w_order").alias("w_sum"), F.sum("a_order").alias("a_sum"),
+                                 F.sum(F.col("w_order") % 1009 * (F.col("a_order") % 1013)).alias("pair_sum"))
+    kind = F.concat(F.when(F.col("no_w"), "-").otherwise("w"), F.when(F.col("no_a"), "-").otherwise("a"), F.when(F.col("hot"), " hot").otherwise(""))
+    return sums.select(kind.alias("kind"), "n", "w_sum", "a_sum", "pair_sum")
 
 
 _SUMMED_SQL = f"""

@@ -156,6 +156,21 @@ def test_a_hot_key_spreads_over_tasks(spark):
     assert sum(sizes) == 2_700_000 and len(sizes) >= 6 and max(sizes) < 900_000
 
 
+def test_a_hot_key_spreads_over_tasks_unasked(spark):
+    w = spark.range(100_000).select(F.lit("k").alias("wms_key"), F.col("id").alias("w"))
+    a = spark.range(7).select(F.lit("K").alias("ax_key"), F.col("id").alias("a"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sizes = [r["count"] for r in recon.reconcile(w, a, rule="lower").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 700_000 and len(sizes) >= 2 and max(sizes) < 700_000
+
+
 # --- L2 -------------------------------------------------------------------------------------------
 
 def test_batches_are_padded_to_their_own_longest_row(spark):
