@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import exact_dedup, jaccard_join, mixing, repeats, topk, toxicity
+from ledgerspark.llm import common, exact_dedup, jaccard_join, mixing, repeats, topk, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -100,3 +100,26 @@ def test_one_row_stays_of_rows_that_repeat_id_and_text(spark):
     kept = exact_dedup.drop_exact_copies(spark.createDataFrame(rows, DOCS)).collect()
     assert Counter((r.doc_id, r.text or "") for r in kept) == Counter([(2, "a"), (None, "b"), (None, ""), (3, "c"), (3, "d")])
     assert all(tuple(r) in rows for r in kept)
+
+
+def test_possible_misses_no_key_and_leaves_most_others(spark):
+    df = spark.range(20000).withColumn("bits", F.lit("x"))
+    marked = common.possible(df, F.col("id"), spark.range(0, 20000, 10).select((F.col("id") * F.lit(1)).alias("k")), "flag")
+    assert marked.columns == ["id", "bits", "flag"]
+    flags = {r.id: r.flag for r in marked.collect()}
+    assert len(flags) == 20000 and all(flags[i] for i in range(0, 20000, 10))
+    assert sum(flags.values()) < 2100
+    assert not any(r.flag for r in common.possible(df, F.col("id"), spark.range(0), "flag").collect())
+
+
+def test_labelled_texts_move_once_and_meet_every_label(spark):
+    docs = spark.createDataFrame([(i % 50 if i % 9 else None, f"text {i}") for i in range(120)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, i % 2) for i in range(0, 60, 3)] + [(3, 0), (6, 0)], "id long, toxic int")
+    dealt = toxicity._dealt(docs, labelled, 4)
+    want = docs.join(labelled, F.col("doc_id") == F.col("id")).select("doc_id", "toxic", "text")
+    rows = dealt.withColumn("task", F.spark_partition_id()).collect()
+    assert Counter((r.doc_id, r.toxic, r.text) for r in rows) == rows_of(want)
+    assert len({(r.part, r.task) for r in rows}) == len({r.part for r in rows})
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    moves = [x for x in plan.split("\n") if "Exchange hashpartitioning(part" in x]
+    assert len(moves) == 1 and "SortMergeJoin" not in plan
