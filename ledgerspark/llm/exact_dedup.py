@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import NULL_ID, longs, map_arrow, materialize, ship_package, without_copies
+from ledgerspark.llm.common import NULL_ID, drop_table, longs, map_arrow, materialize, possible, ship_package, without_copies
 
 FILTER_ROWS = 500_000  # fingerprints per filter: bounds a task's memory, not the input
 
@@ -134,11 +134,15 @@ def exact_dedup(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("fp"))
     suspects = repeated_fingerprints(rows, buckets)
     sha = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
-    verified = (rows.join(suspects.select("fp"), "fp", "left_semi").groupBy("fp", "text")
+    suspects = materialize(suspects.select("fp"), "repeated-fingerprints")
+    # only texts whose fingerprint may be repeated move
+    likely = possible(rows, F.col("fp"), suspects, "likely").filter("likely")
+    verified = (likely.join(suspects, "fp", "left_semi").groupBy("fp", "text")
                 .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     # one row per verified text; written, so that texts move once and the join below meets a plain table, whose
     # skewed side Spark can split
     classes = materialize(verified.select("fp", sha, "keep_id", "group_size"), "text-classes")
+    drop_table(suspects)
     out = rows.select("doc_id", "fp", sha).join(classes, ["fp", "text_sha256"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return (out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")

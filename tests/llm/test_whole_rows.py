@@ -123,3 +123,13 @@ def test_labelled_texts_move_once_and_meet_every_label(spark):
     plan = dealt._jdf.queryExecution().executedPlan().toString()
     moves = [x for x in plan.split("\n") if "Exchange hashpartitioning(part" in x]
     assert len(moves) == 1 and "SortMergeJoin" not in plan
+
+
+def test_only_likely_copies_move(spark):
+    rows = [(i, f"some text {i % 90}", "en", "web") for i in range(100)]
+    docs = spark.createDataFrame(rows, DOCS)
+    odd = spark.createDataFrame([(95, False), (96, False)], "did long, tied boolean")
+    out = common.without_copies(docs, odd, [F.coalesce("doc_id", F.lit(common.NULL_ID))])
+    assert rows_of(out) == Counter(r for r in rows if r[0] not in (95, 96))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("LeftAnti")  # the rows that cannot be odd are not part of the join
