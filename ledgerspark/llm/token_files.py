@@ -25,6 +25,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -206,6 +207,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self.tokenizer.get_vocab_size())])  # byte-level for a space
         self.spaced, self.bare = Memo(), Memo(MEMO // 4)  # words after a space; pieces without one
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -215,38 +217,35 @@ class Encoder:
         return [ids for i in range(0, len(pieces), 4096) for ids in self._whole(pieces[i:i + 4096])]
 
     def _run(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, each with the space before it: one call for many, cut where the pre-tokenizer cuts."""
+        """Ids of words of letters, each with the space before it: one call for many. The first id of each word is the only
+        one that begins with a space."""
         out: list[bytes] = []
         for i in range(0, len(words), 8192):
-            some = words[i:i + 8192]
-            e = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            data, piece = packed(e.ids), np.array(e.word_ids, np.int64)
-            at = [0, *(4 * (np.flatnonzero(piece[1:] != piece[:-1]) + 1)).tolist(), len(data)]
+            [e] = self.tokenizer.encode_batch_fast([" " + " ".join(words[i:i + 8192])], add_special_tokens=False)
+            data = packed(e.ids)
+            at = (4 * np.append(np.flatnonzero(self.opens[np.frombuffer(data, "<u4")]), len(data) // 4)).tolist()
             out += [data[a:b] for a, b in zip(at, at[1:])]
         return out
 
     def _unknown(self, words: list[str]) -> list[bytes]:
         """Ids of each word with the space before it, or of a line end and the word behind it."""
-        lines = [w for w in words if w[:1] == "\n"]
-        bare = self.bare.fill({"\n", *[w[1:] for w in lines]}, self._batches) if lines else {}
-        out = {w: bare["\n"] + bare[w[1:]] for w in lines}
         known = self.spaced.new
-        cores = {}  # letters, then punctuation only: the pre-tokenizer cuts between them
-        odd = []
-        for w in words:
-            core = w.rstrip(self._PUNCTUATION)
-            if core.isalpha():
-                cores[w] = core
-            elif w not in out:
-                odd.append(w)
-        out.update(zip(odd, self._batches([" " + w for w in odd]), strict=True))
-        letters = list(set(cores.values()).difference(known))
+        cores = [w.rstrip(self._PUNCTUATION) for w in words]
+        plain = [c.isalpha() for c in cores]  # letters, then punctuation only: the pre-tokenizer cuts between them
+        letters = list(set(compress(cores, plain)).difference(known))
         own = dict(zip(letters, self._run(letters), strict=True))
-        tails = self.bare.fill({w[len(c):] for w, c in cores.items() if len(c) < len(w)}, self._batches)
-        for w, c in cores.items():
-            ids = own.get(c) or known[c]
-            out[w] = ids if len(c) == len(w) else ids + tails[w[len(c):]]
-        return list(map(out.__getitem__, words))
+        others = [w for w, p in zip(words, plain) if not p]
+        lines = [w[1:] for w in others if w[:1] == "\n"]
+        tails = self.bare.fill({"\n", *lines, *[w[len(c):] for w, c, p in zip(words, cores, plain) if p and len(c) < len(w)]}, self._batches)
+        odd = iter(self._batches([" " + w for w in others if w[:1] != "\n"]))
+        out = []
+        for w, c, p in zip(words, cores, plain):
+            if p:
+                ids = own.get(c) or known[c]
+                out.append(ids if len(c) == len(w) else ids + tails[w[len(c):]])
+            else:
+                out.append(tails["\n"] + tails[w[1:]] if w[:1] == "\n" else next(odd))
+        return out
 
     def _split(self, text: str) -> tuple[str, list[str]] | None:
         """The piece before the first space, and the words after each space; None if spaces may not be cut so."""

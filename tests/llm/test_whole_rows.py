@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import common, exact_dedup, jaccard_join, mixing, repeats, topk, toxicity
+from ledgerspark.llm import common, exact_dedup, jaccard_join, mixing, repeats, token_files, topk, toxicity
+from ledgerspark.llm.catalog import tokenizer
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -133,3 +134,16 @@ def test_only_likely_copies_move(spark):
     assert rows_of(out) == Counter(r for r in rows if r[0] not in (95, 96))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Union") < plan.index("LeftAnti")  # the rows that cannot be odd are not part of the join
+
+
+def test_new_words_are_encoded_without_offsets():
+    enc = token_files.Encoder(tokenizer("byte_bpe_50k.json"))
+    texts = ["Une forêt, zqwxv; Straße naïve\nline end.", "été été! x1y2 mañana?", "", "one"]
+    want = [token_files.packed(e.ids) for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    class NoOffsets:
+        def __init__(self, own):
+            self.encode_batch_fast = own.encode_batch_fast
+
+    enc.tokenizer = NoOffsets(enc.tokenizer)
+    assert enc.encode(texts) == want
