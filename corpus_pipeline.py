@@ -7,12 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
 from ledgerspark.llm.catalog import tokenizer
-from ledgerspark.llm.common import documents, drop_table, materialize
+from ledgerspark.llm.common import ARROW_ROWS, documents, drop_table, few_rows, materialize
 from ledgerspark.session import table
 
 
+def bounded(spark: SparkSession) -> None:
+    """Arrow batches of few rows in this session from here on. A stage that passes whole texts through Python runs when its result
+    is written, after it has returned."""
+    spark.conf.set(ARROW_ROWS, few_rows(spark))
+
+
 def toxic_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (it learns from the labelled documents among ``docs``)."""
+    bounded(spark)
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), holdout=None))
 
 
@@ -33,6 +40,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian 32-bit), ids_sha256, decoded_sha256 per emitted document."""
+    bounded(spark)
     return bpe.encode_documents(docs, tokenizer("word_bpe_49k.json"), ids=True, decoded=False)
 
 

@@ -32,7 +32,8 @@ from ledgerspark.llm.token_files import Memo, packed
 END = "￿"  # stands for the end-of-word suffix inside the automaton; no token string holds it
 NEVER = 1 << 60
 PAIRS = 400_000  # entries of the pair-compatibility table that a worker keeps, some 50 MB
-WORDS, PIECES = 350_000, 500_000  # entries per generation of a worker's memos, some 250 MB in all at most
+#: Entries per generation of a worker's memos, some 70 MB in all at most: workers outlive the task and keep them.
+WORDS, PIECES = 100_000, 140_000
 
 
 class Merges:

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import (NULL_ID, drop_table, flat, longs, lower_ascii, map_arrow, materialize, public_id, scramble, slices,
-                                    without_copies, word_hashes, word_spans)
+from ledgerspark.llm.common import (ARROW_ROWS, NULL_ID, drop_table, few_rows, flat, longs, lower_ascii, map_arrow, materialize, public_id,
+                                    scramble, settings, slices, without_copies, word_hashes, word_spans)
 from ledgerspark.llm.components import components
 
 SKETCH_BITS = 20
@@ -89,7 +89,9 @@ def _levels(rows: DataFrame, words: int, bits: int) -> np.ndarray:
     schema = "part int, block int, counts binary"
     summed = map_arrow(rows.select("text"), count, schema).groupBy("part", "block").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
     out = np.zeros(size, np.int64)
-    for r in summed.collect():  # BLOCKS rows, 8 << bits bytes in all
+    with settings(rows.sparkSession, {ARROW_ROWS: few_rows(rows.sparkSession)}):  # whole texts go to the workers here too
+        found = summed.collect()  # BLOCKS rows, 8 << bits bytes in all
+    for r in found:
         out[r.block * per_block:(r.block + 1) * per_block] = np.frombuffer(r.counts, np.int64)
     return np.ceil(6 * np.log2(np.maximum(out, 1))).astype(np.uint8)
 
