@@ -29,6 +29,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
@@ -40,6 +41,7 @@ from ledgerspark.llm.common import NULL_ID, map_arrow, materialize, public_id, s
 MAGIC = b"BPLN1\0\0\0"
 BLOCK = 65536
 MEMO = 700_000  # distinct pieces a worker keeps per generation of its memo
+TEXT = 3_000_000  # bytes of text encoded at a time
 
 
 # --- planes --------------------------------------------------------------------------------------
@@ -76,8 +78,12 @@ class Writer:
         sink.write(MAGIC)
 
     def add(self, doc_id: int, ids: np.ndarray) -> None:
-        self.doc_ids.append(doc_id)
-        self.sizes.append(len(ids))
+        self.extend([doc_id], [len(ids)], ids)
+
+    def extend(self, doc_ids: list[int], sizes: list[int], ids: np.ndarray) -> None:
+        """Documents whose ids follow each other in ``ids``."""
+        self.doc_ids += doc_ids
+        self.sizes += sizes
         self.rest.append(ids)
         self.held += len(ids)
         if self.held >= self.block:
@@ -183,21 +189,54 @@ class Memo:
             new.update(zip(unknown, make(unknown), strict=True))
         return new
 
+    def values(self, keys: list, make) -> list:
+        """The values of ``keys``, which are distinct, in their order; ``make`` as in ``fill``."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        out = list(map(new.get, keys))
+        for i in [i for i, v in enumerate(out) if v is None] if old else ():
+            v = old.get(keys[i])
+            if v is not None:
+                new[keys[i]] = out[i] = v
+        at = [i for i, v in enumerate(out) if v is None]
+        unknown = [keys[i] for i in at]
+        for i, k, v in zip(at, unknown, make(unknown) if unknown else (), strict=True):
+            new[k] = out[i] = v
+        return out
+
+
+#: Letters of every Unicode version since 5.0, which any tokenizer's pattern takes for letters, and what else ends a run of them for sure.
+STABLE = r"A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F\u0391-\u03A1\u03A3-\u03CE\u0400-\u0481\u0531-\u0556\u05D0-\u05EA\u0621-\u064A\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3"
+NO_LETTER = r"\0-@\[-`{-\x7F"
+
+
+def _byte_level() -> np.ndarray:
+    """The code points (UTF-16) that stand for bytes in byte-level vocabularies."""
+    out = np.arange(256, dtype="<u2")
+    others = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0x100 and b != 0xAD)]
+    out[others] = 0x100 + np.arange(len(others))
+    return out
+
 
 class Encoder:
     """Ids by the tokenizers library, one call per distinct piece.
 
     The byte-level pre-tokenizer never joins a space with the non-space before it, so a text may be cut before each
-    space that a non-space follows without changing its ids; equal pieces are encoded once. A piece is kept under the word after
-    its space. Unknown pieces are cut once more, between letters and the punctuation behind them, where the
-    pre-tokenizer cuts too, so that the library meets each word once, with and without a comma. Texts that hold a special
-    token's string, and white space that such a cut could part, are treated without the shortcut.
+    space that a non-space follows without changing its ids, and around a line end between non-spaces; equal pieces are
+    encoded once. A piece is kept under the word after its space. Arrow cuts the texts and finds the distinct words, NumPy puts
+    their ids in the order of the texts: Python meets each distinct word of a call once. Unknown words are cut
+    once more behind their letters, where the pre-tokenizer cuts too, so that the library meets the letters once whatever
+    follows them; they are one piece and go straight to the library's model. Texts that hold a special token's string, or one of
+    the two marks that cuts are made with, are treated without the shortcut.
     """
 
-    _INSIDE_RUN = re.compile(r" (?<=\s )(?:\s|\Z)")
-    _CUT = re.compile(r"(?= \S)")
-    _PUNCTUATION = ".,;:!?"
-    _LINE_IN_RUN = (re.compile(r"\n(?:\s|\Z)"), re.compile(r"\n(?<=\s\n)"))
+    _SPACE, _LINE = "\0", "\1"  # marks of a cut: for the space before a word; behind it, for a line end
+    _LONE_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+    _IN_RUN = re.compile(r" (?!\S)")
+    _CUT = re.compile(r" (?=\S)")
+    _LETTERS = re.compile(f"([{STABLE}]+)((?:[{NO_LETTER}].*)?)", re.DOTALL)
+    _BYTE_LEVEL = _byte_level()
 
     def __init__(self, path: str):
         import os
@@ -206,6 +245,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenize = self.tokenizer.model.tokenize  # of one piece, in byte-level characters
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self.tokenizer.get_vocab_size())])  # byte-level for a space
         self.spaced, self.bare = Memo(), Memo(MEMO // 4)  # words after a space; pieces without one
@@ -217,8 +257,8 @@ class Encoder:
         return [ids for i in range(0, len(pieces), 4096) for ids in self._whole(pieces[i:i + 4096])]
 
     def _run(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, each with the space before it: one call for many. The first id of each word is the only
-        one that begins with a space."""
+        """Ids of words without white space, each with the space before it: one call for many. The first id of each word is the
+        only one that begins with a space."""
         out: list[bytes] = []
         for i in range(0, len(words), 8192):
             [e] = self.tokenizer.encode_batch_fast([" " + " ".join(words[i:i + 8192])], add_special_tokens=False)
@@ -227,46 +267,76 @@ class Encoder:
             out += [data[a:b] for a, b in zip(at, at[1:])]
         return out
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each with the space before it: each is one piece, which the model takes as it is."""
+        if not words:
+            return []
+        space, tokenize = chr(self._BYTE_LEVEL[0x20]), self.tokenize
+        pieces = self._BYTE_LEVEL[np.frombuffer(" ".join(words).encode(), np.uint8)].tobytes().decode("utf-16-le").split(space)
+        ids, ends = [], [0]
+        for piece in pieces:
+            ids += [t.id for t in tokenize(space + piece)]
+            ends.append(4 * len(ids))
+        data = packed(ids)
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
     def _unknown(self, words: list[str]) -> list[bytes]:
         """Ids of each word with the space before it, or of a line end and the word behind it."""
-        known = self.spaced.new
-        cores = [w.rstrip(self._PUNCTUATION) for w in words]
-        plain = [c.isalpha() for c in cores]  # letters, then punctuation only: the pre-tokenizer cuts between them
-        letters = list(set(compress(cores, plain)).difference(known))
-        own = dict(zip(letters, self._run(letters), strict=True))
-        others = [w for w, p in zip(words, plain) if not p]
-        lines = [w[1:] for w in others if w[:1] == "\n"]
-        tails = self.bare.fill({"\n", *lines, *[w[len(c):] for w, c, p in zip(words, cores, plain) if p and len(c) < len(w)]}, self._batches)
-        odd = iter(self._batches([" " + w for w in others if w[:1] != "\n"]))
+        known, line = self.spaced.new, self._LINE
+        cuts = [m and m.groups() for m in map(self._LETTERS.fullmatch, words)]
+        letters = list({c[0] for c in cuts if c}.difference(known))
+        own = dict(zip(letters, self._letters(letters), strict=True))
+        others = [w for w, c in zip(words, cuts) if not c]
+        tails = self.bare.fill({"\n", *[c[1] for c in cuts if c], *[w[1:] for w in others if w[:1] == line]}, self._batches)
+        rest = [w for w in others if w[:1] != line]
+        single = [w.split() == [w] for w in rest]
+        run, odd = iter(self._run(list(compress(rest, single)))), iter(self._batches([" " + w for w, one in zip(rest, single) if not one]))
+        of_rest = iter([next(run if one else odd) for one in single])
         out = []
-        for w, c, p in zip(words, cores, plain):
-            if p:
-                ids = own.get(c) or known[c]
-                out.append(ids if len(c) == len(w) else ids + tails[w[len(c):]])
+        for w, c in zip(words, cuts):
+            if c:
+                core, rest_of = c
+                ids = own.get(core) or known[core]
+                out.append(ids + tails[rest_of] if rest_of else ids)
             else:
-                out.append(tails["\n"] + tails[w[1:]] if w[:1] == "\n" else next(odd))
+                out.append(tails["\n"] + tails[w[1:]] if w[:1] == line else next(of_rest))
         return out
 
-    def _split(self, text: str) -> tuple[str, list[str]] | None:
-        """The piece before the first space, and the words after each space; None if spaces may not be cut so."""
-        if "  " in text or self._INSIDE_RUN.search(text):
+    def _marked(self, text: str) -> str | None:
+        """The text with marks where it may be cut; None if it may not be."""
+        if self._SPACE in text or self._LINE in text or any(s in text for s in self.special):
             return None
-        if "\n" in text and not any(r.search(text) for r in self._LINE_IN_RUN):
-            text = text.replace("\n", " \n")  # a lone line end is a token's start and its end too: ``_unknown`` knows it
-        head, *words = text.split(" ")
-        return head, words
-
-    def _odd(self, text: str) -> bytes:
-        """Ids of a text with runs of white space, or with a special token's string (not cut then)."""
-        return b"".join(self._whole([text] if any(s in text for s in self.special) else self._CUT.split(text)))
+        if "\n" in text:
+            text = self._LONE_LINE.sub(self._SPACE + self._LINE, text)
+        return self._CUT.sub(self._SPACE, text) if self._IN_RUN.search(text) else text.replace(" ", self._SPACE)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        marked = [self._marked(t) for t in texts]
+        cut = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), self._SPACE)
+        first = np.asarray(cut.offsets, np.int64)
+        coded = cut.flatten().dictionary_encode()
+        at, words = np.array(coded.indices), coded.dictionary
+        opening = words.take(pa.array(at[first[:-1]])).to_pylist()
+        heads = self.bare.fill({h for h, m in zip(opening, marked) if m is not None}, self._batches)
+        heads = [heads[h] if m is not None else self._whole([t])[0] for t, h, m in zip(texts, opening, marked)]
+        at[first[:-1]] = len(words) + np.arange(len(texts))  # a text's first piece has no space before it
+        used = np.bincount(at, minlength=len(words) + len(texts)) > 0
+        names = words.filter(pa.array(used[:len(words)])).to_numpy(zero_copy_only=False).tolist()
+        values = self.spaced.values(names, self._unknown) + heads
+        at = (np.cumsum(used) - 1)[at]
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        own = size[at]
+        ends = np.append(0, np.cumsum(own))
+        take = np.repeat((np.cumsum(size) - size)[at] - ends[:-1], own)
+        take += np.arange(len(take))
+        return np.frombuffer(b"".join(values), "<u4")[take], np.diff(ends[first])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [None if any(s in t for s in self.special) else self._split(t) for t in texts]
-        heads = self.bare.fill({c[0] for c in cut if c}, self._batches)
-        heads = [heads[c[0]] if c else b"" for c in cut]
-        get = self.spaced.fill(set().union(*[c[1] for c in cut if c]), self._unknown).__getitem__
-        return [head + b"".join(map(get, c[1])) if c else self._odd(t) for t, c, head in zip(texts, cut, heads, strict=True)]
+        ids, sizes = self.ids(texts)
+        data, ends = ids.tobytes(), np.append(0, 4 * np.cumsum(sizes)).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -299,15 +369,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
         fs.create_dir(base, recursive=True)
         name, attempt = f"{base}/shard-{shard:08d}.bpln", f"{base}/_attempt-{uuid.uuid4().hex}"
         enc, out, count, sink = encoder(tokenizer), None, 0, None
-        end = np.array([end_id], "<u4")
         for batch in batches:
-            for part in slices(batch, most=1_000_000):
+            for part in slices(batch, most=TEXT):
                 if out is None:
                     sink = fs.open_output_stream(attempt)
                     out = Writer(sink, bits, block)
-                for doc, ids in zip(part.column("did").to_pylist(), enc.encode(part.column("text").to_pylist()), strict=True):
-                    out.add(doc, np.concatenate([np.frombuffer(ids, "<u4"), end]))
-                    count += 1
+                ids, sizes = enc.ids(part.column("text").to_pylist())
+                out.extend(part.column("did").to_pylist(), (sizes + 1).tolist(), np.insert(ids, np.cumsum(sizes), end_id))
+                count += len(sizes)
         if out is not None:
             total = out.close()
             sink.close()

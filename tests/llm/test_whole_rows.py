@@ -147,3 +147,36 @@ def test_new_words_are_encoded_without_offsets():
 
     enc.tokenizer = NoOffsets(enc.tokenizer)
     assert enc.encode(texts) == want
+
+
+def test_distinct_words_go_to_the_library_once():
+    enc = token_files.Encoder(tokenizer("byte_bpe_50k.json"))
+    texts = ["Zqwxv, zqwxv vlopt; vlopt: naïveté!\nvlopt end", "Zqwxv vlopt. naïveté's x1y2 zqwxv,", "Zqwxv"]
+    want = [token_files.packed(e.ids) for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    seen, tokenize = [], enc.tokenize
+    enc.tokenize = lambda piece: (seen.append(piece), tokenize(piece))[1]
+    assert enc.encode(texts) == want
+    assert sorted(seen) == sorted(["Ġ" + w for w in ("zqwxv", "vlopt", "end", "naÃ¯vetÃ©", "x")])
+    ids, sizes = enc.ids(texts)
+    assert ids.tobytes() == b"".join(want) and sizes.tolist() == [len(w) // 4 for w in want] and len(seen) == 5
+    assert [len(x) for x in enc.ids([])] == [0, 0]
+
+
+def test_line_ends_behind_spaces_keep_the_space():
+    enc = token_files.Encoder(tokenizer("byte_bpe_50k.json"))
+    texts = ["the end. \nNext", "a \n b", "a \n", " \nb", "a\nb \nc", "a\n b", "a  b\nc", "a \n\nb", "\nb", "a\n", "a\0b c\nd", "a \1b", " ", "a ",
+             "a\x85\nb", "x <|endoftext|> \ny", "é \té\n", "well-known 3,5 «été» l'été it's  so"]
+    want = [token_files.packed(e.ids) for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode(texts) == want
+    assert [enc.encode([t])[0] for t in texts] == want
+
+
+def test_letters_sent_to_the_model_are_one_piece():
+    import re
+    import sys
+    enc = token_files.Encoder(tokenizer("byte_bpe_50k.json"))
+    letters = re.sub(f"[^{token_files.STABLE}]", "", "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)])))
+    assert len(letters) > 30000
+    assert len(enc.tokenizer.pre_tokenizer.pre_tokenize_str(" " + letters)) == 1
+    for end in re.findall(f"[{token_files.NO_LETTER}]", "".join(map(chr, range(128)))):
+        assert enc.tokenizer.pre_tokenizer.pre_tokenize_str("ab" + end)[0][0] == "ab"
