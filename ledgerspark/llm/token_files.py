@@ -40,8 +40,8 @@ from ledgerspark.llm.common import NULL_ID, map_arrow, materialize, public_id, s
 
 MAGIC = b"BPLN1\0\0\0"
 BLOCK = 65536
-MEMO = 700_000  # distinct pieces a worker keeps per generation of its memo
-TEXT = 3_000_000  # bytes of text encoded at a time
+MEMO = 500_000  # distinct pieces a worker keeps per generation of its memo
+TEXT = 2_000_000  # bytes of text encoded at a time
 
 
 # --- planes --------------------------------------------------------------------------------------
