@@ -107,30 +107,39 @@ def key_by(rule: str) -> Callable[[Column], Column]:
     return lambda c: F.collate(c, rule)
 
 
+#: Rows of a key that are left together unasked: Spark by itself cuts a key only by its size in bytes, which says little of its pairs.
+MOST_OF_A_KEY = 2_000
+#: Pairs of parts that a key is cut into before its parts grow beyond ``split_rows``, to LARGEST_PART rows at most: each row is copied
+#: once for every part of the other side, so small parts of a large key would cost more to deal out than their pairs.
+PAIRS_OF_PARTS = 4096
+LARGEST_PART = 20_000
+
+
 def _split_hot(w: DataFrame, a: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_i`` and ``_j`` to join on besides ``_k``. A key with more than ``most`` rows on a side is cut there into parts of
     about that many rows, and every part meets every part of the other side: (i, j) is one task's share of the key's
-    pairs. ``_hot`` marks rows of keys that are cut. Keys without rows on both sides stay whole.
+    pairs. Parts of a key with more than ``PAIRS_OF_PARTS`` of these are larger, up to ``LARGEST_PART`` rows. ``_met`` marks rows of
+    cut keys that both sides have: they meet rows of the other side in some part. Rows without a key meet none and are spread.
 
     The list of cut keys has at most one entry per ``most`` rows."""
     def counts(df: DataFrame, n: str) -> DataFrame:
         return df.filter(F.col("_k").isNotNull()).groupBy("_k").agg(F.count(F.lit(1)).alias(n))
 
-    hot = (counts(w, "_n").join(counts(a, "_m"), "_k").filter((F.col("_n") > most) | (F.col("_m") > most))
-           .select("_k", F.ceil(F.col("_n") / most).alias("_is"), F.ceil(F.col("_m") / most).alias("_js")))
+    n, m = F.coalesce("_n", F.lit(0)), F.coalesce("_m", F.lit(0))
+    part = F.least(F.greatest(F.lit(most), F.ceil(F.sqrt(n) * F.sqrt(m) / PAIRS_OF_PARTS ** 0.5)), F.lit(max(most, LARGEST_PART)))
+    hot = (counts(w, "_n").join(counts(a, "_m"), "_k", "full").filter((n > most) | (m > most))
+           .select("_k", F.greatest(F.ceil(n / part), F.lit(1)).alias("_is"), F.greatest(F.ceil(m / part), F.lit(1)).alias("_js"),
+                   ((n > 0) & (m > 0)).alias("_met")))
 
     def cut(df: DataFrame, own: str, other: str, own_parts: str, other_parts: str) -> DataFrame:
-        columns = [c for c in df.columns if c != "_k"]
-        parts = df.join(hot, "_k", "left").withColumn("_hot", F.col("_is").isNotNull())
-        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.coalesce(F.col(own_parts), F.lit(1)))
-        return (parts.withColumn(own, part).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other_parts), F.lit(1).cast("long")) - 1)))
+        h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != "_k"])
+        one = F.lit(1).cast("long")
+        return (df.join(hot, "_k", "left").withColumn("_met", F.coalesce("_met", F.lit(False)))
+                .withColumn(own, F.when(F.col("_k").isNull(), h).otherwise(F.pmod(h, F.coalesce(F.col(own_parts), one))))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other_parts), one) - 1)))
                 .drop("_is", "_js"))
 
-    return cut(w, "_i", "_j", "_is", "_js"), cut(a, "_j", "_i", "_js", "_is").drop("_hot")
-
-
-#: Rows of a key on one side that one task pairs: Spark by itself cuts a key only by its size in bytes, which says little of its pairs.
-MOST_OF_A_KEY = 20_000
+    return cut(w, "_i", "_j", "_is", "_js"), cut(a, "_j", "_i", "_js", "_is")
 
 
 def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: str = "ax_key", rule: str = "exact",
@@ -140,31 +149,37 @@ def reconcile(wms: DataFrame, ax: DataFrame, key_wms: str = "wms_key", key_ax: s
 
     Each side is deduplicated first (the union is distinct anyway; the dedupe
     is a partial aggregation over all columns, so a hot key still spreads over
-    many tasks). Then one left outer join yields the matched pairs and the
+    many tasks). No final DISTINCT is needed: matched pairs, WMS rows and ERP
+    rows without a match are disjoint and each is already distinct.
+
+    A key that has more rows than ``split_rows`` on either side is cut there, and its pairs spread over as many tasks as there are
+    pairs of parts (``_split_hot``). The ERP rows of a part are joined as one row that holds them all, so the full outer join is as
+    long as the sides are, and pairs are made by the ``inline`` on top of it: a plain loop, compiled into one piece with what reads
+    the pairs. The union of two joins would write every pair as a row first.
+
+    None leaves all keys whole and holds no rows together: one left outer join yields the matched pairs and the
     unmatched WMS rows (NULL keys included), and the ERP rows without a match
     come from an anti join against the distinct WMS keys -- a key-only
-    shuffle. Full-width rows are shuffled once per side, as in a full outer
-    join, but AQE can split a skewed key on the (larger, detailed) WMS side,
-    which it cannot do for a full outer join. No final DISTINCT is needed: the
-    three parts are disjoint and each is already distinct.
-
-    AQE splits one side only, and by bytes. A key that has more rows than ``split_rows`` on either side is cut on both, and its
-    pairs spread over as many tasks as there are pairs of parts (``_split_hot``); None leaves all keys whole.
+    shuffle. AQE can split a skewed key on the (larger, detailed) WMS side,
+    by its bytes, which it cannot do for a full outer join.
     """
     w, a = wms.distinct(), ax.distinct()
     compared = key_by(rule)
-    # same plan as what the left join reads of the ERP side, so its key shuffle is reused below
     w_k = w.withColumn("_k", compared(F.col(f"`{key_wms}`")))
-    a_k = a.withColumn("_k", compared(F.col(f"`{key_ax}`"))).filter(F.col("_k").isNotNull())
+    a_k = a.withColumn("_k", compared(F.col(f"`{key_ax}`")))
     w_cols, a_cols = [F.col(f"`{c}`") for c in w.columns], [F.col(f"`{c}`") for c in a.columns]
-    if split_rows is None:
-        left = w_k.join(a_k, w_k["_k"] == a_k["_k"], "left")
-    else:
-        w_part, a_part = _split_hot(w_k, a_k, split_rows)
-        on = ["_k", "_i", "_j"]
-        a_part = a_part.withColumn("_met", F.lit(True))
+    if split_rows is not None:
+        # dealt by number: few bytes make many pairs, so tasks are not to be merged by their bytes
+        on, n = ["_k", "_i", "_j"], int(w.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        w_part, a_part = (df.repartition(n, *on) for df in _split_hot(w_k, a_k, split_rows))
+        a_part = a_part.groupBy(*on).agg(F.collect_list(F.struct(*a_cols)).alias("_rows"), F.first("_met").alias("_a_met"))
         # a part of a cut key may meet a part without rows: its own rows are matched in other parts
-        left = w_part.join(a_part, on, "left").filter(~F.col("_hot") | F.col("_met").isNotNull())
+        both = w_part.join(a_part, on, "full").filter(
+            (F.col("_met").isNotNull() & F.col("_rows").isNotNull()) | ~F.coalesce("_met", "_a_met"))
+        return both.select(*w_cols, F.inline_outer("_rows"))
+    # same plan as what the left join reads of the ERP side, so its key shuffle is reused below
+    a_k = a_k.filter(F.col("_k").isNotNull())
+    left = w_k.join(a_k, w_k["_k"] == a_k["_k"], "left")
     w_keys = w_k.select("_k").filter(F.col("_k").isNotNull()).distinct()
     only_a = a_k.join(w_keys, "_k", "left_anti").select(*a_cols).unionByName(a.filter(F.col(f"`{key_ax}`").isNull()))
     w_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in w.schema.fields]

@@ -171,6 +171,43 @@ def test_a_hot_key_spreads_over_tasks_unasked(spark):
     assert sum(sizes) == 700_000 and len(sizes) >= 2 and max(sizes) < 700_000
 
 
+def without_aqe(spark, run):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return run()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_pairs_are_made_above_the_joins(spark):
+    w = spark.range(300).select(F.lit("k").alias("wms_key"), F.col("id").alias("w"))
+    a = spark.range(200).select(F.lit("k").alias("ax_key"), F.col("id").alias("a"))
+    plan = without_aqe(spark, lambda: recon.reconcile(w, a)._jdf.queryExecution().executedPlan().toString())
+    assert "Generate inline(_rows" in plan and "Union" not in plan
+
+
+def test_parts_of_a_large_key_grow(spark, monkeypatch):
+    w = spark.range(2000).select(F.lit("k").alias("_k"), F.col("id").alias("w"))
+    a = spark.range(1000).select(F.lit("k").alias("_k"), F.col("id").alias("a"))
+    for side, n in zip(recon._split_hot(w, a, 1), (2000, 1000)):
+        copies = [r["count"] for r in side.groupBy(side.columns[1]).count().collect()]
+        assert len(copies) == n and max(copies) <= 100
+    monkeypatch.setattr(recon, "LARGEST_PART", 5)
+    assert recon._split_hot(w, a, 1)[1].select("_i").distinct().count() == 400
+
+
+def test_rows_without_a_match_spread_over_tasks(spark):
+    half = F.when(F.col("id") < 3000, F.lit("only w"))
+    w = spark.range(6000).select(half.alias("wms_key"), F.col("id").alias("w"))
+    a = spark.range(6000).select(F.regexp_replace(half, "w", "a").alias("ax_key"), F.col("id").alias("a"))
+    sizes = without_aqe(spark, lambda: [r["count"] for r in recon.reconcile(w, a, split_rows=100).groupBy(F.spark_partition_id()).count().collect()])
+    assert sum(sizes) == 12_000 and max(sizes) < 3000
+
+
 # --- L2 -------------------------------------------------------------------------------------------
 
 def test_batches_are_padded_to_their_own_longest_row(spark):
