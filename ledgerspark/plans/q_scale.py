@@ -92,12 +92,20 @@ def _sides(spark, sf):
 
 
 def _summed(rows):
-    """The reconciled rows by kind of match, with sums that any wrong, lost or repeated pair changes."""
-    by = [F.col("w_order").isNull().alias("no_w"), F.col("a_order").isNull().alias("no_a"), F.coalesce("w_hot", F.lit(False)).alias("hot")]
-    sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("w_order").alias("w_sum"), F.sum("a_order").alias("a_sum"),
-                                 F.sum(F.col("w_order") % 1009 * (F.col("a_order") % 1013)).alias("pair_sum"))
+    """The reconciled rows by kind of match, with sums that any wrong, lost or repeated pair changes. Rows of the hot key are summed
+    without grouping, which is plain additions: looking up a pair's group takes longer than making the pair."""
+    w, a, hot = F.col("w_order"), F.col("a_order"), F.coalesce("w_hot", F.lit(False))
+    pair, none, no_a = w % 1009 * (a % 1013), F.lit(None).cast("bigint"), a.isNull()
+    many = hot & w.isNotNull()
+    one = rows.filter(many).agg(F.count(F.when(~no_a, 1)).alias("n"), F.sum(F.when(~no_a, w)).alias("w_sum"), F.sum(a).alias("a_sum"), F.sum(pair).alias("pair_sum"),
+                                F.count(F.when(no_a, 1)).alias("n_no_a"), F.sum(F.when(no_a, w)).alias("w_sum_no_a"))
+    hot_sums = one.select(F.inline(F.array(
+        F.struct(F.lit("wa hot").alias("kind"), "n", "w_sum", "a_sum", "pair_sum"),
+        F.struct(F.lit("w- hot").alias("kind"), F.col("n_no_a").alias("n"), F.col("w_sum_no_a").alias("w_sum"), none.alias("a_sum"), none.alias("pair_sum")))))
+    sums = rows.filter(~many).groupBy(w.isNull().alias("no_w"), no_a.alias("no_a"), hot.alias("hot")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(w).alias("w_sum"), F.sum(a).alias("a_sum"), F.sum(pair).alias("pair_sum"))
     kind = F.concat(F.when(F.col("no_w"), "-").otherwise("w"), F.when(F.col("no_a"), "-").otherwise("a"), F.when(F.col("hot"), " hot").otherwise(""))
-    return sums.select(kind.alias("kind"), "n", "w_sum", "a_sum", "pair_sum")
+    return sums.select(kind.alias("kind"), "n", "w_sum", "a_sum", "pair_sum").unionByName(hot_sums.filter(F.col("n") > 0))
 
 
 _SUMMED_SQL = f"""

@@ -208,6 +208,27 @@ def test_rows_without_a_match_spread_over_tasks(spark):
     assert sum(sizes) == 12_000 and max(sizes) < 3000
 
 
+def test_sums_by_kind_of_match(spark):
+    from ledgerspark.plans import q_scale
+
+    rng = random.Random(2)
+    rows = [(hot, rng.choice([None, *range(5000)]) if w else None, rng.choice([None, *range(5000)]) if a else None)
+            for hot in (True, False, None) for w in (0, 1) for a in (0, 1) for _ in range(40)] + [(True, None, 5), (False, 7, None)]
+    expected = {}
+    for hot, w, a in rows:
+        e = expected.setdefault(("-" if w is None else "w") + ("-" if a is None else "a") + (" hot" if hot else ""), [0, [], [], []])
+        e[0] += 1
+        for i, x in ((1, w), (2, a), (3, None if w is None or a is None else w % 1009 * (a % 1013))):
+            e[i] += [] if x is None else [x]
+    expected = {k: (n, *[sum(x) if x else None for x in v]) for k, (n, *v) in expected.items()}
+    assert len(expected) == 8
+    df = spark.createDataFrame(rows, "w_hot boolean, w_order long, a_order long")
+    assert {r[0]: tuple(r)[1:] for r in q_scale._summed(df).collect()} == expected
+    assert q_scale._summed(df.filter("w_hot is null and w_order is null and a_order is null")).count() == 1 and q_scale._summed(df.limit(0)).count() == 0
+    plan = without_aqe(spark, lambda: q_scale._summed(df)._jdf.queryExecution().executedPlan().toString())
+    assert "HashAggregate(keys=[], functions=[partial_count(" in plan
+
+
 # --- L2 -------------------------------------------------------------------------------------------
 
 def test_batches_are_padded_to_their_own_longest_row(spark):
